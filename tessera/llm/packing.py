@@ -24,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, raw_texts, ship
+from tessera.llm.common import cut, ship
 
 #: Entries of a worker's table of encoded words; a full table is emptied.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 _NEAR_WHITE = re.compile(r"\s | \s|^ | $")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 _TOKENIZERS: dict[str, Encoder] = {}
@@ -53,24 +53,46 @@ class Encoder(dict):
             with open(ranks_path, "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.quick = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+            self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+            self.sizes[list(ranks.values())] = [len(k) for k in ranks]
 
     def ids(self, text: str) -> bytes:
         if self.quick is not None and text.replace("\n", "").isprintable():
             return np.array(self.quick.encode_ordinary(text), "<u4").tobytes()
+        return self.whole(text)
+
+    def learn(self, words: set[str]) -> None:
+        """Add words, each as it stands behind a space: one call encodes them all, and byte lengths of tokens tell them apart."""
+        plain = [w for w in words if self.quick is not None and w.replace("\n", "").isprintable()]
+        for w in words.difference(plain):
+            self[w] = self.ids(" " + w)
+        if plain:
+            ids = np.array(self.quick.encode_ordinary(" " + " ".join(plain)), "<u4")
+            ends = np.cumsum([len(w.encode()) + 1 for w in plain])
+            at = [0, *(np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()]
+            flat = ids.tobytes()
+            for k, w in enumerate(plain):
+                self[w] = flat[4 * at[k] : 4 * at[k + 1]]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit numbers."""
+        split = [None if self.special.search(t) else _INNER_SPACE.split(t) if _NEAR_WHITE.search(t) else t.split(" ") for t in texts]
+        inner = [w[1:] for w in split if w]
+        if len(self) > CACHE_WORDS:
+            self.clear()
+        self.learn(set().union(*inner).difference(self))
+        look = self.__getitem__
+        return [self.whole(t) if w is None else self.ids(w[0]) + b"".join(map(look, w[1:])) for t, w in zip(texts, split, strict=True)]
+
+    def whole(self, text: str) -> bytes:
         return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        self[word] = ids = self.ids(" " + word)
-        return ids
 
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        if self.special.search(text):
-            return np.array(self.slow.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self) > CACHE_WORDS:
-            self.clear()
-        words = _INNER_SPACE.split(text) if _NEAR_WHITE.search(text) else text.split(" ")
-        return self.ids(words[0]) + b"".join(map(self.__getitem__, words[1:]))
+def public_files(name: str) -> tuple[str, str, str]:
+    """The tokenizer file of a public vocabulary, its ranks file and the pattern that cuts words."""
+    import public_tokenizers
+
+    return public_tokenizers.path(f"{name}.json"), public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN
 
 
 def encoder(path: str, ranks_path: str | None, pattern: str | None) -> Encoder:
@@ -88,13 +110,16 @@ def pieces(docs: DataFrame, path: str, ranks_path: str | None = None, pattern: s
         tail = int(end).to_bytes(4, "little")
         for batch in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), raw_texts(batch.column("text")), strict=True):
-                ids = (tokens.encode(text.decode()) if text else b"") + tail
-                n = len(ids) // 4
-                at, size = 0, (n - 1) % capacity + 1
-                for k in range(-(-n // capacity)):
-                    rows.append((doc_id, k, at, size, zlib.crc32(ids[4 * at : 4 * (at + size)])))
-                    at, size = at + size, capacity
+            names, all_texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for first in range(0, len(names), 256):
+                own = slice(first, first + 256)
+                for doc_id, ids in zip(names[own], tokens.encode_all([t or "" for t in all_texts[own]]), strict=True):
+                    ids += tail
+                    n = len(ids) // 4
+                    at, size = 0, (n - 1) % capacity + 1
+                    for k in range(-(-n // capacity)):
+                        rows.append((doc_id, k, at, size, zlib.crc32(ids[4 * at : 4 * (at + size)])))
+                        at, size = at + size, capacity
             yield pa.record_batch([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")

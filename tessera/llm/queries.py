@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import packing, simhash, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +17,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(documents(spark, sf_dir), size=13)
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), *packing.public_files("byte_bpe_50k"), capacity=1024, end=2)
+
+
 QUERIES = {
     "op4_simhash": op4_simhash,
+    "op5_substring": op5_substring,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {}
