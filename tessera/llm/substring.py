@@ -156,9 +156,11 @@ def _split(rec: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray
 
 def _removals(rec: dict[str, np.ndarray], ranges: int) -> list[tuple]:
     """One row for each document that loses windows; range only deals the rows out."""
+    if not len(rec["doc"]):
+        return []
     order = np.lexsort([rec["place"], rec["key"], rec["doc"]])
     doc, key, place = (rec[k][order] for k in ("doc", "key", "place"))
-    head = _runs(doc, key) if len(doc) else np.zeros(0, np.int64)
+    head = _runs(doc, key)
     ends = np.r_[head[1:], len(doc)]
     return [(int(doc[a]) % ranges, int(doc[a]), int(key[a]), pack(np.diff(place[a:b], prepend=np.uint32(0))), *[None] * len(_FIELDS)) for a, b in zip(head.tolist(), ends.tolist(), strict=True)]
 
