@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import packing, quality, simhash, substring
+from tessera.llm import license_scan, packing, quality, simhash, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +30,16 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), *packing.public_files("byte_bpe_50k"), capacity=1024, end=2)
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir)).drop("spans")
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_substring": op5_substring,
     "op8_packing": op8_packing,
+    "op10_license_scan": op10_license_scan,
 }
 
 ORACLES: dict[str, str] = {}
