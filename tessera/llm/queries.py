@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import license_scan, packing, quality, simhash, substring
+from tessera.llm import decontam, license_scan, packing, quality, simhash, substring
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(documents(spark, sf_dir), size=13)
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.drop("row_key")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), *packing.public_files("byte_bpe_50k"), capacity=1024, end=2)
 
@@ -38,6 +43,7 @@ QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op4_simhash": op4_simhash,
     "op5_substring": op5_substring,
+    "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
     "op10_license_scan": op10_license_scan,
 }
