@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Slice, mix, raw_texts, ship, slices, span_hashes, texts, word_bounds
+from tessera.llm.common import Slice, cut, mix, raw_texts, ship, slices, span_hashes, texts, word_bounds
 
 MAX_SKETCH_BITS = 29
 RANGES = 64
@@ -85,7 +85,7 @@ def _sketch_rows(cells: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["range", "once", "more"])
 
 
-def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 22) -> np.ndarray:
+def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 21) -> np.ndarray:
     """The merged sketch as packed bits: cells that two or more windows fall into."""
     shift = np.uint64(64 - bits)
 
@@ -132,8 +132,8 @@ def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 22)
 
 
 _FIELDS = (("anchor", np.uint32), ("digest", np.uint64), ("doc", np.int64), ("key", np.int64), ("place", np.uint32))
-_ROWS = "range int, doc_id long, text_key long, places binary, " + ", ".join(f"{c} binary" for c, _ in _FIELDS)
-_NAMES = ["range", "doc_id", "text_key", "places", *(c for c, _ in _FIELDS)]
+_NAMES = ["range", "final", *(c for c, _ in _FIELDS)]
+_ROWS = "range int, final boolean, " + ", ".join(f"{c} binary" for c, _ in _FIELDS)
 
 
 def _runs(*keys: np.ndarray) -> np.ndarray:
@@ -154,40 +154,52 @@ def _split(rec: dict[str, np.ndarray]) -> tuple[np.ndarray, dict[str, np.ndarray
     return rec["doc"] > least, rec
 
 
+def _dealt(rec: dict[str, np.ndarray], to: np.ndarray, final: bool) -> list[tuple]:
+    """Records packed into one row for each range that they go to; final ones are removals, which go by document."""
+    order = np.argsort(to, kind="stable")
+    head = _runs(to[order]) if len(order) else np.zeros(0, np.int64)
+    ends = np.r_[head[1:], len(order)] if len(order) else head
+    return [(int(to[order[a]]), final, *(pack(rec[c][order[a:b]].astype(t)) for c, t in _FIELDS)) for a, b in zip(head.tolist(), ends.tolist(), strict=True)]
+
+
 def _removals(rec: dict[str, np.ndarray], ranges: int) -> list[tuple]:
-    """One row for each document that loses windows; range only deals the rows out."""
-    if not len(rec["doc"]):
-        return []
-    order = np.lexsort([rec["place"], rec["key"], rec["doc"]])
-    doc, key, place = (rec[k][order] for k in ("doc", "key", "place"))
-    head = _runs(doc, key)
-    ends = np.r_[head[1:], len(doc)]
-    return [(int(doc[a]) % ranges, int(doc[a]), int(key[a]), pack(np.diff(place[a:b], prepend=np.uint32(0))), *[None] * len(_FIELDS)) for a, b in zip(head.tolist(), ends.tolist(), strict=True)]
-
-
-def _batches(rows: list[tuple], size: int = 2000) -> Iterator[pa.RecordBatch]:
-    kinds = [pa.int32(), pa.int64(), pa.int64(), *[pa.binary()] * 6]
+    return _dealt(rec, (mix(rec["doc"].astype(np.uint64)) % np.uint64(ranges)).astype(np.int64), True)
+
+
+def _batches(rows: list[tuple], size: int = 500) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int32(), pa.bool_(), *[pa.binary()] * len(_FIELDS)]
     for i in range(0, len(rows), size):
         yield pa.record_batch([pa.array([r[k] for r in rows[i : i + size]], kinds[k]) for k in range(len(kinds))], _NAMES)
 
 
-def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1 << 21) -> DataFrame:
-    """doc_id, text_key, places: packed first words of windows that a smaller doc_id has too; several rows a document."""
+def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+    """The records of one range after another."""
+    now, held = None, []
+
+    def joined() -> dict[str, np.ndarray]:
+        return {c: np.concatenate([unpack(x[c], t) for x in held]) for c, t in _FIELDS}
+
+    for batch in batches:
+        for x in batch.to_pylist():
+            if x["range"] != now and held:
+                yield joined()
+                held = []
+            now = x["range"]
+            held.append(x)
+    if held:
+        yield joined()
+
+
+def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1 << 20) -> DataFrame:
+    """doc_id, text_key, places: packed first words of the windows that a smaller doc_id has too; a row for each document that has any."""
     flags = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, size, bits))
     shift = np.uint64(64 - bits)
 
     def shrink(rec: dict[str, list]) -> Iterator[pa.RecordBatch]:
         gone, one = _split({k: np.concatenate(v) for k, v in rec.items()})
-        rows = _removals({k: v[gone] for k, v in one.items()}, ranges)
+        yield from _batches(_removals({k: v[gone] for k, v in one.items()}, ranges))
         kept = {k: v[~gone] for k, v in one.items()}
-        r = ((kept["anchor"] >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64)
-        order = np.argsort(r, kind="stable")
-        at = np.searchsorted(r[order], np.arange(ranges + 1))
-        kept = {k: v[order] for k, v in kept.items()}
-        for k in np.flatnonzero(np.diff(at)).tolist():
-            part = slice(at[k], at[k + 1])
-            rows.append((k, None, None, None, *(pack(kept[c][part].astype(t)) for c, t in _FIELDS)))
-        yield from _batches(rows, 500)
+        yield from _batches(_dealt(kept, ((kept["anchor"] >> np.uint64(32)) % np.uint64(ranges)).astype(np.int64), False))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = flags.value
@@ -211,42 +223,36 @@ def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1
             yield from shrink(rec)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rec = None, []
-
-        def done() -> Iterator[pa.RecordBatch]:
-            if rec:
-                gone, one = _split({c: np.concatenate([unpack(x[c], t) for x in rec]) for c, t in _FIELDS})
-                for b in _batches(_removals({k: v[gone] for k, v in one.items()}, ranges)):
-                    yield b.select(["doc_id", "text_key", "places"])
-
-        for batch in batches:
-            ready = batch.filter(batch.column("places").is_valid())
-            if ready.num_rows:
-                yield ready.select(["doc_id", "text_key", "places"])
-            for x in batch.filter(batch.column("places").is_null()).to_pylist():
-                if x["range"] != now:
-                    yield from done()
-                    now, rec = x["range"], []
-                rec.append(x)
-        yield from done()
+        for rec in _by_range(batches):
+            gone, one = _split(rec)
+            yield from _batches(_removals({k: v[gone] for k, v in one.items()}, ranges))
+
+    def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rec in _by_range(batches):
+            order = np.lexsort([rec["place"], rec["key"], rec["doc"]])
+            doc, key, place = (rec[k][order] for k in ("doc", "key", "place"))
+            head = _runs(doc, key)
+            blobs = [pack(np.diff(x, prepend=np.uint32(0))) for x in np.split(place, head[1:])]
+            yield pa.record_batch([pa.array(doc[head]), pa.array(key[head]), pa.array(blobs, pa.binary())], ["doc_id", "text_key", "places"])
 
     known = docs.filter(F.col("doc_id").isNotNull())
-    rows = known.mapInArrow(pick, _ROWS).repartition("range").sortWithinPartitions("range")
-    return rows.mapInArrow(exact, "doc_id long, text_key long, places binary")
+    found = cut(known.mapInArrow(pick, _ROWS))
+    open_ = found.filter("not final").repartition("range").sortWithinPartitions("range").mapInArrow(exact, _ROWS)
+    gone = found.filter("final").union(open_).repartition("range").sortWithinPartitions("range")
+    return gone.mapInArrow(by_document, "doc_id long, text_key long, places binary")
 
 
-def keep_words(size: int) -> Callable[[bytes, list[bytes] | None], tuple[list[bytes], int]]:
+def keep_words(size: int) -> Callable[[bytes, bytes | None], tuple[list[bytes], int]]:
     """A function of a text and its packed places: the words that stay, and how many there were."""
 
-    def kept(text: bytes, blobs: list[bytes] | None) -> tuple[list[bytes], int]:
+    def kept(text: bytes, blob: bytes | None) -> tuple[list[bytes], int]:
         words = text.split()
-        if not blobs:
+        if not blob:
             return words, len(words)
         step = np.zeros(len(words) + 1, np.int32)
-        for blob in blobs:
-            at = np.cumsum(unpack(blob, np.uint32), dtype=np.uint32).astype(np.int64)
-            np.add.at(step, at, 1)
-            np.add.at(step, at + size, -1)
+        at = np.cumsum(unpack(blob, np.uint32), dtype=np.uint32).astype(np.int64)
+        step[at] += 1
+        step[at + size] -= 1
         stay = np.cumsum(step)[:-1] == 0
         return [words[i] for i in np.flatnonzero(stay).tolist()], len(words)
 
@@ -265,14 +271,14 @@ def deduplicate(docs: DataFrame, size: int = 13, with_text: bool = False) -> Dat
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], []]
-            for text, blobs in zip(raw_texts(batch.column("text")), batch.column("places").to_pylist(), strict=True):
-                words, n = kept(text, blobs)
+            for text, blob in zip(raw_texts(batch.column("text")), batch.column("places").to_pylist(), strict=True):
+                words, n = kept(text, blob)
                 joined = b" ".join(words)
                 for k, v in enumerate((n, n - len(words), hashlib.sha256(joined).hexdigest(), joined.decode() if with_text else None)):
                     out[k].append(v)
             yield pa.record_batch([batch.column("doc_id"), pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.string()), pa.array(out[3], pa.string())], ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    lost = removals(docs, size, bits, ranges).groupBy("doc_id", "text_key").agg(F.collect_list("places").alias("places"))
+    lost = removals(docs, size, bits, ranges)
     found = docs.join(lost.hint("shuffle_hash"), ["doc_id", "text_key"], "left").select("doc_id", "text", "places")
     found = found.mapInArrow(digest, "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
     return found if with_text else found.drop("kept_text")
