@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, license_scan, packing, quality, simhash, substring, toxicity
+from tessera.llm import decontam, importance, langid, license_scan, packing, pii, quality, simhash, substring, toxicity
+
+
+#: The key of surrogates in the registered queries; a production run passes its own.
+SECRET = "a key that only the data's owner holds"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +25,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir), SECRET)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(documents(spark, sf_dir))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
@@ -30,6 +38,10 @@ def op5_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.deduplicate(documents(spark, sf_dir), size=13)
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.overlaps(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.drop("row_key")
@@ -39,6 +51,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), *packing.public_files("byte_bpe_50k"), capacity=1024, end=2)
 
 
+def op9_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).drop("spans")
 
@@ -46,10 +62,13 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
+    "op3_pii": op3_pii,
     "op4_simhash": op4_simhash,
     "op5_substring": op5_substring,
+    "op6_langid": op6_langid,
     "op7_decontamination": op7_decontamination,
     "op8_packing": op8_packing,
+    "op9_importance": op9_importance,
     "op10_license_scan": op10_license_scan,
 }
 
