@@ -22,11 +22,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Slice, cut, mix, raw_texts, ship, slices, span_hashes, texts, word_bounds
+from tessera.llm.common import Slice, mix, raw_texts, ship, slices, span_hashes, texts, word_bounds
 
 MAX_SKETCH_BITS = 29
 RANGES = 64
@@ -132,6 +133,8 @@ def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 21)
 
 
 _FIELDS = (("anchor", np.uint32), ("digest", np.uint64), ("doc", np.int64), ("key", np.int64), ("place", np.uint32))
+#: What says that windows are equal; a removal, once decided, goes without it.
+_DIGEST = ("anchor", "digest")
 _NAMES = ["range", "final", *(c for c, _ in _FIELDS)]
 _ROWS = "range int, final boolean, " + ", ".join(f"{c} binary" for c, _ in _FIELDS)
 
@@ -159,7 +162,7 @@ def _dealt(rec: dict[str, np.ndarray], to: np.ndarray, final: bool) -> list[tupl
     order = np.argsort(to, kind="stable")
     head = _runs(to[order]) if len(order) else np.zeros(0, np.int64)
     ends = np.r_[head[1:], len(order)] if len(order) else head
-    return [(int(to[order[a]]), final, *(pack(rec[c][order[a:b]].astype(t)) for c, t in _FIELDS)) for a, b in zip(head.tolist(), ends.tolist(), strict=True)]
+    return [(int(to[order[a]]), final, *(None if final and c in _DIGEST else pack(rec[c][order[a:b]].astype(t)) for c, t in _FIELDS)) for a, b in zip(head.tolist(), ends.tolist(), strict=True)]
 
 
 def _removals(rec: dict[str, np.ndarray], ranges: int) -> list[tuple]:
@@ -177,7 +180,7 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarra
     now, held = None, []
 
     def joined() -> dict[str, np.ndarray]:
-        return {c: np.concatenate([unpack(x[c], t) for x in held]) for c, t in _FIELDS}
+        return {c: np.concatenate([unpack(x[c], t) for x in held]) for c, t in _FIELDS if held[0][c] is not None}
 
     for batch in batches:
         for x in batch.to_pylist():
@@ -223,9 +226,19 @@ def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1
             yield from shrink(rec)
 
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rec in _by_range(batches):
+        decided: list[pa.RecordBatch] = []
+
+        def open_() -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                decided.append(b.filter(b.column("final")))
+                yield b.filter(pc.invert(b.column("final")))
+
+        for rec in _by_range(open_()):
             gone, one = _split(rec)
             yield from _batches(_removals({k: v[gone] for k, v in one.items()}, ranges))
+            while decided:
+                yield decided.pop()
+        yield from decided
 
     def by_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rec in _by_range(batches):
@@ -236,10 +249,8 @@ def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1
             yield pa.record_batch([pa.array(doc[head]), pa.array(key[head]), pa.array(blobs, pa.binary())], ["doc_id", "text_key", "places"])
 
     known = docs.filter(F.col("doc_id").isNotNull())
-    found = cut(known.mapInArrow(pick, _ROWS))
-    open_ = found.filter("not final").repartition("range").sortWithinPartitions("range").mapInArrow(exact, _ROWS)
-    gone = found.filter("final").union(open_).repartition("range").sortWithinPartitions("range")
-    return gone.mapInArrow(by_document, "doc_id long, text_key long, places binary")
+    found = known.mapInArrow(pick, _ROWS).repartition("range").sortWithinPartitions("range").mapInArrow(exact, _ROWS)
+    return found.repartition("range").sortWithinPartitions("range").mapInArrow(by_document, "doc_id long, text_key long, places binary")
 
 
 def keep_words(size: int) -> Callable[[bytes, bytes | None], tuple[list[bytes], int]]:
