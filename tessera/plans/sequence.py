@@ -1 +1,190 @@
-"""Queries."""
+"""Sequences, k-mers, reads and depth windows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tessera.functions.arrays import pieces
+from tessera.operators.intervals import windows_of
+from tessera.operators.ranking import weighted_quantile
+from tessera.plans.coverage import r6
+from tessera.plans.registry import query
+from tessera.plans.views import Views
+
+K = 15
+
+
+def reverse_complement(s: Column) -> Column:
+    return F.reverse(F.translate(s, "ACGT", "TGCA"))
+
+
+def kmers(seqs: DataFrame, k: int, *keep: str) -> DataFrame:
+    """A row for each canonical k-mer of A, C, G, T: the smaller of itself and its reverse complement."""
+    words = seqs.select(*keep, F.explode(pieces(F.col("sequence"), k)).alias("w")).filter(~F.col("w").rlike("[^ACGT]"))
+    return words.select(*keep, F.least("w", reverse_complement(F.col("w"))).alias("kmer"))
+
+
+SMALL = "km AS (SELECT id, source, least(w, reverse(translate(w, 'ACGT', 'TGCA'))) AS kmer FROM (SELECT id, source, substr(sequence, i, 15) AS w FROM (SELECT id, source, sequence, unnest(range(1, length(sequence) - 13)) AS i FROM v_seq WHERE length(sequence) >= 15)))"
+
+
+@query("l01_canonical_kmers", "SELECT source, count(*) AS kmers, count(DISTINCT kmer) AS distinct_kmers FROM km GROUP BY source", SMALL)
+def l01(v: Views) -> DataFrame:
+    return kmers(v.v_seq, K, "source").groupBy("source").agg(F.count("*").alias("kmers"), F.count_distinct("kmer").alias("distinct_kmers"))
+
+
+@query("l02_repeat_content", """
+SELECT id, count(*) AS kmers, count(*) FILTER (own > 1) AS repeated, count(*) FILTER (docs > 1) AS shared FROM (SELECT id, count(*) OVER (PARTITION BY id, kmer) AS own, (max(r) OVER (PARTITION BY kmer)) AS docs FROM (SELECT id, kmer, dense_rank() OVER (PARTITION BY kmer ORDER BY id) AS r FROM km)) GROUP BY id""", SMALL)
+def l02(v: Views) -> DataFrame:
+    """k-mers are first counted per sequence, so a k-mer's group has one row a sequence."""
+    own = kmers(v.v_seq, K, "id").groupBy("id", "kmer").agg(F.count("*").alias("n"))
+    wide = own.groupBy("kmer").agg(F.count("*").alias("docs"))
+    rows = own.join(wide, "kmer")
+    return rows.groupBy("id").agg(F.sum("n").alias("kmers"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated"), F.sum(F.when(F.col("docs") > 1, F.col("n")).otherwise(0)).alias("shared"))
+
+
+@query("l03_scaled_kmer_sample")
+def l03(v: Views) -> DataFrame:
+    return kmers(v.v_seq, K, "id").distinct().filter(F.pmod(F.xxhash64("kmer"), F.lit(50)) == 0).groupBy("id").agg(F.count("*").alias("sampled"))
+
+
+@query("k04_sketch_distance_pairs")
+def k04(v: Views) -> DataFrame:
+    """Pairs of sequences by the Jaccard index of their sampled k-mers. Equal sketches are one class first; hashes that over 50 classes share make no pairs by themselves but still count in those that others make."""
+    sample = kmers(v.v_seq, K, "id").distinct().filter(F.pmod(F.xxhash64("kmer"), F.lit(50)) == 0)
+    sketch = sample.groupBy("id").agg(F.array_sort(F.collect_set(F.xxhash64("kmer"))).alias("s"))
+    classes = sketch.groupBy("s").agg(F.min("id").alias("id"), F.count("*").alias("members"))
+    words = classes.select("id", F.size("s").alias("n"), F.explode("s").alias("h"))
+    a, b = words.select(F.col("id").alias("a"), F.col("n").alias("na"), "h"), words.select(F.col("id").alias("b"), F.col("n").alias("nb"), "h")
+    rare = words.groupBy("h").count().filter("count <= 50").select("h")
+    pairs = a.join(rare, "h").join(b, "h").filter("a < b").select("a", "b").distinct()
+    both = pairs.join(a, "a").join(b, ["b", "h"]).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
+    j = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+    return both.select("a", "b", j.alias("jaccard"), (-F.ln(2 * j / (1 + j)) / K).alias("distance")).filter("distance <= 0.1")
+
+
+@query("c12_kmer_containment", """
+SELECT a.id, count(DISTINCT a.kmer) AS kmers, count(DISTINCT CASE WHEN c.kmer IS NOT NULL THEN a.kmer END) AS inside, round(count(DISTINCT CASE WHEN c.kmer IS NOT NULL THEN a.kmer END) / CAST(count(DISTINCT a.kmer) AS DOUBLE), 6) AS containment FROM km a LEFT JOIN (SELECT DISTINCT kmer FROM km WHERE source = 'src0') c ON a.kmer = c.kmer WHERE a.source = 'src1' GROUP BY a.id""", SMALL)
+def c12(v: Views) -> DataFrame:
+    words = kmers(v.v_seq, K, "id", "source")
+    inside = words.filter("source = 'src0'").select("kmer").distinct().withColumn("hit", F.lit(1))
+    rows = words.filter("source = 'src1'").select("id", "kmer").distinct().join(inside, "kmer", "left")
+    return r6(rows.groupBy("id").agg(F.count("*").alias("kmers"), F.count("hit").alias("inside"), (F.count("hit") / F.count("*")).alias("containment")), "containment")
+
+
+@query("i07_reverse_complement", "SELECT id, md5(reverse(translate(sequence, 'ACGT', 'TGCA'))) AS digest FROM v_seq")
+def i07(v: Views) -> DataFrame:
+    return v.v_seq.select("id", F.md5(reverse_complement(F.col("sequence"))).alias("digest"))
+
+
+@query("l04_tandem_multimer", """
+SELECT id, max(k) AS copies FROM (SELECT id, k, list_min([list_sum([CASE WHEN substr(sequence, j, 1) = substr(sequence, CAST(p * part + j AS BIGINT), 1) THEN 1 ELSE 0 END FOR j IN range(1, part + 1)]) / CAST(part AS DOUBLE) FOR p IN range(1, k)]) AS ident
+FROM (SELECT id, sequence, k, CAST(floor(length(sequence) / k) AS BIGINT) AS part FROM (SELECT id, substr(sequence, 1, 240) AS sequence FROM v_seq), (SELECT unnest(range(2, 7)) AS k) WHERE length(sequence) >= 60)) WHERE ident >= 0.35 GROUP BY id""")
+def l04(v: Views) -> DataFrame:
+    rows = v.v_seq.select("id", F.substring("sequence", 1, 240).alias("sequence")).filter(F.length("sequence") >= 60).withColumn("k", F.explode(F.sequence(F.lit(2).cast("long"), F.lit(6).cast("long"))))
+    rows = rows.withColumn("part", F.floor(F.length("sequence") / F.col("k"))).withColumn("chars", F.split("sequence", ""))
+    same = lambda p: F.aggregate(F.zip_with(F.slice("chars", F.lit(1), F.col("part").cast("int")), F.slice("chars", (p * F.col("part") + 1).cast("int"), F.col("part").cast("int")), lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x) / F.col("part")
+    ident = F.array_min(F.transform(F.sequence(F.lit(1).cast("long"), F.col("k") - 1), same))
+    return rows.filter(ident >= 0.35).groupBy("id").agg(F.max("k").alias("copies"))
+
+
+@query("f06_n50_l50", """
+SELECT sample, max(CASE WHEN 2 * run >= total THEN length END) AS n50, min(CASE WHEN 2 * run >= total THEN n END) AS l50 FROM (SELECT sample, length, sum(length) OVER w AS run, row_number() OVER w AS n, sum(length) OVER (PARTITION BY sample) AS total FROM v_contig WINDOW w AS (PARTITION BY sample ORDER BY length DESC, contig ROWS UNBOUNDED PRECEDING)) GROUP BY sample""")
+def f06(v: Views) -> DataFrame:
+    w = Window.partitionBy("sample").orderBy(F.desc("length"), "contig")
+    rows = v.v_contig.select("sample", "length", F.sum("length").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"), F.row_number().over(w).cast("long").alias("n"), F.sum("length").over(Window.partitionBy("sample")).alias("total"))
+    reached = F.when(2 * F.col("run") >= F.col("total"), F.col("length"))
+    return rows.groupBy("sample").agg(F.max(reached).alias("n50"), F.min(F.when(2 * F.col("run") >= F.col("total"), F.col("n"))).alias("l50"))
+
+
+@query("l05_assembly_statistics", "SELECT sample, count(*) AS contigs, CAST(sum(length) AS BIGINT) AS bp, max(length) AS largest, CAST(sum(CASE WHEN length >= 1000 THEN length ELSE 0 END) AS BIGINT) AS bp_1k, CAST(sum(CASE WHEN length >= 5000 THEN length ELSE 0 END) AS BIGINT) AS bp_5k FROM v_contig GROUP BY sample")
+def l05(v: Views) -> DataFrame:
+    at_least = lambda n: F.sum(F.when(F.col("length") >= n, F.col("length")).otherwise(0))
+    return v.v_contig.groupBy("sample").agg(F.count("*").alias("contigs"), F.sum("length").alias("bp"), F.max("length").alias("largest"), at_least(1000).alias("bp_1k"), at_least(5000).alias("bp_5k"))
+
+
+@query("l06_gc_spread", """
+SELECT source, round(max(CASE WHEN q = 0.9 THEN gc END) - max(CASE WHEN q = 0.1 THEN gc END), 6) AS spread FROM (SELECT source, q, min(gc) AS gc FROM (SELECT source, gc, sum(w) OVER (PARTITION BY source ORDER BY gc ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY source) AS total FROM (SELECT source, round((length(sequence) - length(replace(replace(sequence, 'G', ''), 'C', ''))) / CAST(length(sequence) AS DOUBLE), 6) AS gc, sum(length(sequence)) AS w FROM v_seq WHERE length(sequence) > 0 GROUP BY ALL)) JOIN (SELECT unnest([0.1, 0.9]) AS q) ON run >= q * total GROUP BY ALL) GROUP BY source""")
+def l06(v: Views) -> DataFrame:
+    n = F.length("sequence")
+    gc = F.round((n - F.length(F.translate("sequence", "GC", ""))) / n, 6)
+    rows = v.v_seq.filter(n > 0).select("source", gc.alias("gc"), n.alias("w"))
+    high, low = (weighted_quantile(rows, ["source"], "gc", "w", q).withColumnRenamed("quantile", name) for q, name in ((0.9, "high"), (0.1, "low")))
+    return r6(high.join(low, "source").select("source", (F.col("high") - F.col("low")).alias("spread")), "spread")
+
+
+@query("f10_gc_windows", """
+SELECT id, s, round((g + c) / CAST(n AS DOUBLE), 6) AS gc, round(CASE WHEN g + c = 0 THEN 0 ELSE (g - c) / CAST(g + c AS DOUBLE) END, 6) AS skew FROM (SELECT id, s, length(w) AS n, length(w) - length(replace(w, 'G', '')) AS g, length(w) - length(replace(w, 'C', '')) AS c FROM (SELECT id, s, substr(sequence, CAST(s + 1 AS BIGINT), 500) AS w FROM (SELECT id, sequence, unnest(range(0, length(sequence), 500)) AS s FROM v_seq WHERE id % 10 >= 0 AND length(sequence) > 0)))""")
+def f10(v: Views) -> DataFrame:
+    rows = v.v_seq.filter(F.length("sequence") > 0).select("id", "sequence", F.explode(F.sequence(F.lit(0).cast("long"), (F.length("sequence") - 1).cast("long"), F.lit(500).cast("long"))).alias("s"))
+    rows = rows.withColumn("w", F.substring("sequence", (F.col("s") + 1).cast("int"), F.lit(500)))
+    count = lambda x: F.length("w") - F.length(F.replace(F.col("w"), F.lit(x), F.lit("")))
+    g, c = count("G"), count("C")
+    return r6(rows.select("id", "s", ((g + c) / F.length("w")).alias("gc"), F.when(g + c == 0, 0.0).otherwise((g - c) / (g + c)).alias("skew")), "gc", "skew")
+
+
+@query("f08_sliding_windows", """
+SELECT id, count(*) AS windows, CAST(max(s) AS BIGINT) AS last_start FROM (SELECT DISTINCT id, s FROM (SELECT id, unnest(range(0, greatest(length(sequence) - 1000, 0) + 1, 250)) AS s FROM v_seq UNION ALL SELECT id, greatest(length(sequence) - 1000, 0) FROM v_seq)) GROUP BY id""")
+def f08(v: Views) -> DataFrame:
+    return v.v_seq.select("id", F.explode(windows_of(F.length("sequence"), 1000, 250)).alias("s")).groupBy("id").agg(F.count("*").alias("windows"), F.max("s").alias("last_start"))
+
+
+@query("f07_tumbling_depth_windows", "SELECT replicon, CAST(floor(pos / 1000.0) AS BIGINT) AS win, count(*) AS n, round(avg(depth), 6) AS mean_depth FROM v_depth GROUP BY ALL")
+def f07(v: Views) -> DataFrame:
+    return r6(v.v_depth.groupBy("replicon", F.floor(F.col("pos") / 1000.0).alias("win")).agg(F.count("*").alias("n"), F.avg("depth").alias("mean_depth")), "mean_depth")
+
+
+@query("f09_anomaly_regions", """
+SELECT CAST(region AS BIGINT) AS region, kind, min(win) AS first_win, max(win) AS last_win, count(*) AS windows FROM (SELECT *, sum(fresh) OVER (PARTITION BY kind ORDER BY win ROWS UNBOUNDED PRECEDING) AS region FROM (SELECT *, CASE WHEN win - lag(win) OVER (PARTITION BY kind ORDER BY win) <= 2 THEN 0 ELSE 1 END AS fresh FROM (
+SELECT win, CASE WHEN m > med + 1.0 * 1.4826 * mad THEN 'high' WHEN m < med - 1.0 * 1.4826 * mad THEN 'low' END AS kind FROM wn CROSS JOIN (SELECT med, quantile_cont(abs(m - med), 0.5) AS mad FROM wn CROSS JOIN (SELECT quantile_cont(m, 0.5) AS med FROM wn) GROUP BY med)) WHERE kind IS NOT NULL)) GROUP BY ALL""", "wn AS (SELECT CAST(floor(pos / 300.0) AS BIGINT) AS win, round(avg(depth), 6) AS m FROM v_depth GROUP BY ALL)")
+def f09(v: Views) -> DataFrame:
+    one = F.lit(1).alias("one")
+    wins = v.v_depth.groupBy(F.floor(F.col("pos") / 300.0).alias("win")).agg(F.round(F.avg("depth"), 6).alias("m")).withColumn("one", F.lit(1))
+    med = wins.agg(F.percentile("m", F.lit(0.5)).alias("med")).select("med", one)
+    wins = wins.join(med, "one")
+    mad = wins.agg(F.percentile(F.abs(F.col("m") - F.col("med")), F.lit(0.5)).alias("mad")).select("mad", one)
+    reach = 1.4826 * F.col("mad")
+    kind = F.when(F.col("m") > F.col("med") + reach, "high").when(F.col("m") < F.col("med") - reach, "low")
+    odd = wins.join(mad, "one").select("win", kind.alias("kind")).filter("kind is not null")
+    w = Window.partitionBy("kind").orderBy("win")
+    odd = odd.withColumn("fresh", F.when(F.col("win") - F.lag("win").over(w) <= 2, 0).otherwise(1)).withColumn("region", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return odd.groupBy("region", "kind").agg(F.min("win").alias("first_win"), F.max("win").alias("last_win"), F.count("*").alias("windows"))
+
+
+@query("l07_read_pair_metrics", """
+SELECT conv_id, count(*) AS reads, CAST(sum(length(text)) AS BIGINT) AS bases, round(avg(length(text)), 6) AS mean_length, count(*) - count(DISTINCT substr(text, 1, 20)) AS duplicates, count(*) FILTER (strpos(text, 'the') > 0) AS adapter FROM conversations WHERE text IS NOT NULL GROUP BY conv_id""")
+def l07(v: Views) -> DataFrame:
+    t = v.conversations.filter("text is not null")
+    return r6(t.groupBy("conv_id").agg(F.count("*").alias("reads"), F.sum(F.length("text")).alias("bases"), F.avg(F.length("text")).alias("mean_length"), (F.count("*") - F.count_distinct(F.substring("text", 1, 20))).alias("duplicates"), F.count_if(F.instr("text", "the") > 0).alias("adapter")), "mean_length")
+
+
+@query("l10_depth_ratio", "SELECT sample, round(quantile_cont(depth, 0.5) FILTER (label = 'PLASMID') / quantile_cont(depth, 0.5) FILTER (label = 'CHROMOSOME'), 6) AS ratio FROM v_contig GROUP BY sample")
+def l10(v: Views) -> DataFrame:
+    med = lambda k: F.percentile(F.when(F.col("label") == k, F.col("depth")), F.lit(0.5))
+    return r6(v.v_contig.groupBy("sample").agg((med("PLASMID") / med("CHROMOSOME")).alias("ratio")), "ratio")
+
+
+@query("l08_depth_per_replicon", "SELECT replicon, count(*) AS positions, round(sum(depth), 4) AS total, round(sum(depth) / (max(pos) - min(pos) + 1), 6) AS mean_depth FROM v_depth GROUP BY replicon")
+def l08(v: Views) -> DataFrame:
+    return v.v_depth.groupBy("replicon").agg(F.count("*").alias("positions"), F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum("depth") / (F.max("pos") - F.min("pos") + 1), 6).alias("mean_depth"))
+
+
+@query("l11_thinning_ladder")
+def l11(v: Views) -> DataFrame:
+    """Nested subsamples: a pair is in a rung if its keyed draw is below the rung's fraction."""
+    rows = v.conversations.select("conv_id", "turn", F.explode(F.array(*map(F.lit, (0.1, 0.25, 0.5, 1.0)))).alias("rung"))
+    return rows.filter(F.pmod(F.xxhash64(F.lit(5), "conv_id"), F.lit(1_000_000)) < F.col("rung") * 1_000_000).groupBy("rung").agg(F.count("*").alias("reads"), F.count_distinct("conv_id").alias("pairs"))
+
+
+@query("l12_quality_ladder", "SELECT rung, count(*) AS reads FROM conversations JOIN (SELECT unnest([20, 80, 200]) AS rung) ON length(text) >= rung GROUP BY rung HAVING count(*) >= 5")
+def l12(v: Views) -> DataFrame:
+    rows = v.conversations.select(F.length("text").alias("n"), F.explode(F.array(*map(F.lit, (20, 80, 200)))).alias("rung"))
+    return rows.filter("n >= rung").groupBy("rung").agg(F.count("*").alias("reads")).filter("reads >= 5")
+
+
+@query("l13_coverage_baseline", """
+SELECT sample, count(*) AS contigs, count(*) FILTER (depth >= 1.3 * med) AS predicted, count(*) FILTER (depth >= 1.3 * med AND label = 'PLASMID') AS right_ones FROM v_contig JOIN (SELECT sample, min(depth) AS med FROM (SELECT sample, depth, sum(w) OVER (PARTITION BY sample ORDER BY depth ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY sample) AS total FROM (SELECT sample, depth, sum(length) AS w FROM v_contig GROUP BY ALL)) WHERE run >= 0.5 * total GROUP BY sample) USING (sample) GROUP BY sample""")
+def l13(v: Views) -> DataFrame:
+    med = weighted_quantile(v.v_contig, ["sample"], "depth", "length", 0.5).withColumnRenamed("quantile", "med")
+    hit = F.col("depth") >= 1.3 * F.col("med")
+    return v.v_contig.join(med, "sample").groupBy("sample").agg(F.count("*").alias("contigs"), F.count_if(hit).alias("predicted"), F.count_if(hit & (F.col("label") == "PLASMID")).alias("right_ones"))
