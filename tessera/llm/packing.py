@@ -145,6 +145,8 @@ def price(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
 
 def configurations(count: np.ndarray, capacity: int, rounds: int = 300, rate: float = 0.5) -> list[tuple[np.ndarray, float]]:
     """A fractional cover of the histogram (count[i] pieces of length i + 1): configurations and how often each is used."""
+    if not count.any():
+        return []
     there = count > 0
     covered, found = np.zeros(len(count)), {}
     for _ in range(rounds):

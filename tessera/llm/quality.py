@@ -18,12 +18,12 @@ from tessera.llm.common import cut, let
 from tessera.llm.native import plain_words
 
 SYMBOLS = "#*$%&|<>"
-#: Feature: (its expression over the counts, the floor of its bound, the least spread taken). Each is a share of a text.
+#: Feature: (its expression over the counts, the floor of its bound, the least spread taken). Each is a rate of a text.
 RATES = {
-    "symbol_rate": (F.col("n_symbols") / F.col("n_words"), 0.25, 0.02),
-    "dup_line_rate": (F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.60, 0.02),
-    "repeat_rate": (F.col("n_repeat_words") / F.col("n_words"), 0.30, 0.02),
-    "word_length": (F.col("word_chars") / F.col("n_words"), 12.0, 0.5),
+    "symbol_rate": ("n_symbols / n_words", 0.25, 0.02),
+    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.60, 0.02),
+    "repeat_rate": ("n_repeat_words / n_words", 0.30, 0.02),
+    "word_length": ("word_chars / n_words", 12.0, 0.5),
 }
 
 
@@ -63,7 +63,7 @@ def features(docs: DataFrame) -> DataFrame:
 
 def bounds(rows: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataFrame:
     """lang, source and an upper bound for each rate, from sketches of the rows that have words."""
-    rated = rows.filter("n_words > 0").select("lang", "source", *(e.alias(k) for k, (e, _, _) in RATES.items()))
+    rated = rows.filter("n_words > 0").select("lang", "source", *(F.expr(e).alias(k) for k, (e, _, _) in RATES.items()))
     own = rated.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATES))
     own = cut(own)
 
@@ -94,7 +94,7 @@ def score(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataF
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     rated = rows.join(limit, same, "left").withColumn("base_failed", failed)
-    odd = F.coalesce(*(F.when((F.col("n_words") > 0) & (e > F.col(f"bound.{k}")), F.lit(k)) for k, (e, _, _) in RATES.items()))
+    odd = F.coalesce(*(F.when(F.expr(f"if(n_words > 0, {e}, 0) > bound.{k}"), F.lit(k)) for k, (e, _, _) in RATES.items()))
     rated = rated.withColumn("broken_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(odd))
     return rated.withColumn("kept", F.col("broken_rule").isNull()).drop("of_lang", "of_source", "bound")
 
