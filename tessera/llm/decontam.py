@@ -14,6 +14,9 @@ either side give an empty result.
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,30 +28,33 @@ MASKS = ((0, 1, 2, 3, 5), (0, 1, 2, 4, 7))
 TABLE_BITS = 1 << 19
 
 
-def seed(words: Column, at: Column, mask: int) -> Column:
-    return F.xxhash64(F.lit(mask), *(F.get(words, at + k) for k in MASKS[mask]))
-
+def positions(df: DataFrame, key: str) -> DataFrame:
+    """key, at and h0, h1, ...: each position of the word array ``w`` with its hash under each mask, null where the mask doesn't fit.
 
-def _probe(h: Column) -> Column:
-    return F.shiftright(h, 21)
+    The places that masks keep are zipped as shifted copies of the word hashes, so that a position is a row of plain
+    columns, and hashing and probing it is generated code.
+    """
+    places = sorted({k for mask in MASKS for k in mask})
+    df = df.select(key, F.transform("w", lambda x: F.xxhash64(x)).alias("w")).filter(F.size("w") > 0)
+    shifted = [F.slice("w", F.lit(k + 1), F.size("w")).alias(f"w{k}") for k in places]
+    rows = df.select(key, F.inline(F.arrays_zip(F.sequence(F.lit(0), F.size("w") - 1).alias("at"), *shifted)).alias("at", *(f"w{k}" for k in places)))
+    hashes = [F.when(F.col(f"w{mask[-1]}").isNotNull(), F.xxhash64(F.lit(m), *(F.col(f"w{k}") for k in mask))).alias(f"h{m}") for m, mask in enumerate(MASKS)]
+    return rows.select(key, "at", *hashes)
 
 
-def seeds(words: Column, keep) -> Column:
-    """(seed, at) of every position under every mask that keep lets through."""
-    none = F.expr("cast(array() as array<struct<seed: bigint, at: int>>)")
+def seeds(rows: DataFrame, key: str) -> DataFrame:
+    """key, at, seed: a row for each mask that fits."""
+    return rows.select(key, "at", F.explode(F.array(*(F.col(f"h{m}") for m in range(len(MASKS))))).alias("seed")).filter("seed is not null")
 
-    def under(m: int) -> Column:
-        last = MASKS[m][-1]
-        every = F.transform(F.sequence(F.lit(0), F.size(words) - last - 1), lambda i: F.struct(seed(words, i, m).alias("seed"), i.alias("at")))
-        return F.when(F.size(words) > last, F.filter(every, lambda x: keep(x["seed"]))).otherwise(none)
 
-    return F.concat(*map(under, range(len(MASKS))))
+def _probe(h: Column) -> Column:
+    return F.shiftright(h, 21)
 
 
 def item_table(benchmark: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     """Items with their words, their seeds, and the table of bits that the seeds fall on."""
     items = cut(benchmark.select(F.col("item_id").cast("long"), letter_words(F.col("text")).alias("item")).filter("item_id is not null"))
-    own = items.select("item_id", F.inline(seeds(F.col("item"), lambda h: F.lit(True)))).withColumnRenamed("at", "item_at")
+    own = seeds(positions(items.withColumnRenamed("item", "w"), "item_id"), "item_id").withColumnRenamed("at", "item_at")
     both = own.select(bucket(F.col("seed"), TABLE_BITS).alias("b")).union(own.select(bucket(_probe(F.col("seed")), TABLE_BITS)))
     longs = both.groupBy(F.shiftright("b", 6).alias("i")).agg(F.bit_or(F.expr("shiftleft(1L, b & 63)")).alias("bits"))
     table = bit_table({r["i"]: r["bits"] for r in longs.collect()}, TABLE_BITS)  # at most TABLE_BITS / 64 rows
@@ -63,7 +69,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, window: int = 12, similarity
         return in_table(table, h, TABLE_BITS) & in_table(table, _probe(h), TABLE_BITS)
 
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("doc_id", "text").alias("row_key"))
-    hits = docs.select("row_key", let(letter_words(F.col("text")), lambda w: seeds(w, near)).alias("hits")).select("row_key", F.inline("hits"))
+    rows = positions(docs.select("row_key", letter_words(F.col("text")).alias("w")), "row_key")
+    some = rows.filter(functools.reduce(operator.or_, (F.coalesce(near(F.col(f"h{m}")), F.lit(False)) for m in range(len(MASKS)))))
+    hits = seeds(some, "row_key").filter(near(F.col("seed")))
     hits = hits.join(item_seeds, "seed").select("row_key", "item_id", (F.col("at") - F.col("item_at")).alias("diagonal")).distinct()
     hits = cut(hits.join(items, "item_id").groupBy("row_key").agg(F.collect_list(F.struct("item_id", "diagonal", "item")).alias("tries")))
 
