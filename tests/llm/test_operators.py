@@ -99,15 +99,15 @@ def test_simhash(spark, docs, odd):
     assert left.columns == odd.columns and [r.doc_id for r in left.collect() if r.text and r.text.startswith("alpha0")].count(1) == 1
 
 
-@pytest.mark.parametrize("node_rows", [8, 2048])
-def test_dense_fingerprints(spark, node_rows):
+@pytest.mark.parametrize(("node_rows", "limit"), [(8, 4), (2048, 4), (64, 7)])
+def test_dense_fingerprints(spark, node_rows, limit):
     """Many fingerprints in one masked pattern: parts of a node and the index give what all pairs give."""
     rng = np.random.default_rng(4)
     base = int(rng.integers(1 << 62))
     fps = sorted({base ^ sum(1 << int(b) for b in rng.integers(0, 62, rng.integers(0, 12))) for _ in range(300)})
     nodes = spark.createDataFrame([(f, i) for i, f in enumerate(fps)], "fp long, node long")
-    found = {r.node: r.component for r in simhash.components(simhash.links(nodes, 4, node_rows)).collect()}
-    assert {i: found.get(i, i) for i in range(len(fps))} == components(dict(enumerate(fps)), 4)
+    found = {r.node: r.component for r in simhash.components(simhash.links(nodes, limit, node_rows)).collect()}
+    assert {i: found.get(i, i) for i in range(len(fps))} == components(dict(enumerate(fps)), limit)
 
 
 def removal(by, size=13):
