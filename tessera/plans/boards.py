@@ -370,7 +370,7 @@ def m01(v: Views) -> DataFrame:
 
 @query("m03_leave_one_study_out", """
 SELECT left_out, tool AS pick, round(train, 6) AS train_mean, round(held, 6) AS held_mean, round(best_held - held, 6) AS regret FROM (SELECT *, row_number() OVER (PARTITION BY left_out ORDER BY round(train, 9) DESC, tool) AS k, max(held) OVER (PARTITION BY left_out) AS best_held FROM (
-SELECT g.study AS left_out, x.tool, avg(x.value) FILTER (x.study <> g.study) AS train, avg(x.value) FILTER (x.study = g.study) AS held FROM (SELECT DISTINCT study FROM v_sheet) g CROSS JOIN (SELECT * FROM vals JOIN v_sheet USING (sample)) x GROUP BY ALL)) WHERE k = 1""", VALS)
+SELECT g.study AS left_out, x.tool, avg(x.value) FILTER (x.study <> g.study) AS train, avg(x.value) FILTER (x.study = g.study) AS held FROM (SELECT DISTINCT study FROM vals JOIN v_sheet USING (sample)) g CROSS JOIN (SELECT * FROM vals JOIN v_sheet USING (sample)) x GROUP BY ALL)) WHERE k = 1""", VALS)
 def m03(v: Views) -> DataFrame:
     joined = values(v).join(v.v_sheet.select("sample", "study"), "sample")
     held = joined.groupBy(F.col("study").alias("left_out"), "tool").agg(F.avg("value").alias("held"))

@@ -322,7 +322,7 @@ def j19(v: Views) -> DataFrame:
     return r6(rows.groupBy("tool").agg((F.avg(F.when(known, F.col("c"))) - F.avg(F.when(~known, F.col("c")))).alias("gap")), "gap")
 
 
-@query("m06_leave_taxon_out", "SELECT g.species AS left_out, x.tool, round(avg(value) FILTER (x.species <> g.species), 6) AS train, round(avg(value) FILTER (x.species = g.species), 6) AS held FROM (SELECT DISTINCT species FROM v_sheet) g CROSS JOIN (SELECT * FROM vals JOIN v_sheet USING (sample)) x GROUP BY ALL", VALS)
+@query("m06_leave_taxon_out", "SELECT g.species AS left_out, x.tool, round(avg(value) FILTER (x.species <> g.species), 6) AS train, round(avg(value) FILTER (x.species = g.species), 6) AS held FROM (SELECT DISTINCT species FROM vals JOIN v_sheet USING (sample)) g CROSS JOIN (SELECT * FROM vals JOIN v_sheet USING (sample)) x GROUP BY ALL", VALS)
 def m06(v: Views) -> DataFrame:
     held = values(v).join(v.v_sheet, "sample").groupBy(F.col("species").alias("left_out"), "tool").agg(F.avg("value").alias("held"))
     out = ranking.leave_one_out(values(v), v.v_sheet, "species").join(held, ["left_out", "tool"], "left").select("left_out", "tool", F.col("mean").alias("train"), "held")
