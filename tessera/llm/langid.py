@@ -17,14 +17,21 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import held_out, ship
+from tessera.llm.common import cut, held_out, ship
+
+#: Rows of ids that may be broadcast.
+SMALL_ROWS = 100_000
 
 
 def dictionaries(docs: DataFrame, dict_bytes: int, texts: int = 400) -> dict[str, bytes]:
     """For each language up to dict_bytes of at most texts training texts, the first in hash order last: near content is cheapest to refer to."""
-    rows = docs.filter("lang is not null and text is not null and doc_id is not null").filter(~held_out())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.lit(29), "doc_id"), "doc_id", "text")
-    rows = rows.select("lang", "doc_id", "text").filter(F.length("text").between(20, 20_000)).withColumn("n", F.row_number().over(order)).filter(F.col("n") <= texts)
+    known = docs.filter("lang is not null and text is not null and doc_id is not null").filter(~held_out()).filter(F.length("text").between(20, 20_000))
+    order = Window.partitionBy("lang").orderBy("h", "doc_id")
+    # ids are ranked first, so that no text is shuffled; the picked ones are at most texts a language
+    picked = known.select("lang", "doc_id", F.xxhash64(F.lit(29), "doc_id").alias("h")).distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= texts)
+    picked = cut(picked.select("lang", "doc_id", "n"))
+    near = F.broadcast(picked) if picked.count() <= SMALL_ROWS else picked
+    rows = known.join(near, ["lang", "doc_id"]).dropDuplicates(["lang", "n"])
     held: dict[str, list[bytes]] = {}
     size: dict[str, int] = {}
     for r in rows.orderBy("lang", "n").toLocalIterator():
