@@ -172,7 +172,7 @@ def m04(v: Views) -> DataFrame:
 def neighbour_arm(v: Views, k: int) -> DataFrame:
     per = v.v_truth.groupBy("sample").agg(F.count("*").alias("n"), F.avg("length").alias("size"))
     spread = per.agg(F.stddev_samp("n").alias("sn"), F.stddev_samp("size").alias("sz")).withColumn("one", F.lit(1))
-    x = per.withColumn("one", F.lit(1)).join(spread, "one").select("sample", (F.col("n") / F.col("sn")).alias("f1_"), (F.col("size") / F.col("sz")).alias("f2_")).join(v.v_sheet.select("sample", "study"), "sample").withColumn("one", F.lit(1))
+    x = per.withColumn("one", F.lit(1)).join(spread, "one").select("sample", F.coalesce(F.try_divide(F.col("n"), F.col("sn")), F.lit(0.0)).alias("f1_"), F.coalesce(F.try_divide(F.col("size"), F.col("sz")), F.lit(0.0)).alias("f2_")).join(v.v_sheet.select("sample", "study"), "sample").withColumn("one", F.lit(1))
     y = x.select("one", F.col("sample").alias("other"), F.col("study").alias("other_study"), F.col("f1_").alias("g1"), F.col("f2_").alias("g2"))
     near = x.join(y, "one").filter("study <> other_study").withColumn("d", F.sqrt((F.pow(F.col("f1_") - F.col("g1"), 2) + F.pow(F.col("f2_") - F.col("g2"), 2)) / 2))
     near = near.withColumn("r", F.row_number().over(Window.partitionBy("sample").orderBy("d", "other"))).filter(F.col("r") <= k)
