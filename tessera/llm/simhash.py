@@ -222,11 +222,14 @@ def hex_fingerprint(fp: str = "fp"):
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
 
 
-def deduplicate(docs: DataFrame, shingle: int = 5, limit: int = 7) -> DataFrame:
+def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each group: the smallest doc_id; a row with a null doc_id stays.
 
-    At 7 bits about one pair in 3 * 10 ** 10 of unrelated texts links: one among 250,000 texts.
+    Groups are joined by pairs whose distinct shingles have a Jaccard index of the similarity or more. Such pairs lie up to some 14
+    bits apart, where fingerprints of 64 bits name about all pairs of unrelated texts too, so shingles themselves find them.
     """
-    groups = near_duplicates(docs, shingle, limit)
-    gone = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    from tessera.llm import jaccard  # it takes components from here
+
+    groups = jaccard.near_copies(docs, shingle, similarity)
+    gone = groups.filter("component_id <> doc_id").select("_row_key").distinct()
+    return docs.withColumn("_row_key", F.xxhash64(F.col("doc_id"), "text")).join(gone, "_row_key", "left_anti").select(docs.columns)
