@@ -1,9 +1,9 @@
 """Quality rules with adaptive thresholds: mergeable quantile sketches per language and source replace fixed cutoffs.
 
 Features come from expressions over each whole text. KLL sketches of them are built in tasks and merged per (lang,
-source); each group's bound is its median plus a multiple of its upper spread, never below a floor under which no text is
-odd, and a group of too few texts takes the bounds of its language or of the whole table, whose sketches are
-merged from the groups' own. Bounds join back on (lang, source) and decide.
+source), over the texts that the base rules pass; each group's bound is its median plus a multiple of its upper spread, which is
+taken at two quantiles as most texts have none of what a rate counts. A group of too few texts takes the bounds of its language or
+of the whole table, whose sketches are merged from the groups' own. Bounds join back on (lang, source) and decide.
 
 Null and empty texts have no words and fail the base rules. A null lang or source is a group of its own. Repeated rows each get
 a row. An empty table gives an empty result.
@@ -18,13 +18,15 @@ from tessera.llm.common import cut, let
 from tessera.llm.native import plain_words
 
 SYMBOLS = "#*$%&|<>"
-#: Feature: (its expression over the counts, the floor of its bound, the least spread taken). Each is a rate of a text.
+#: Feature: (its expression over the counts, the least spread taken). Each is a rate of a text.
 RATES = {
-    "symbol_rate": ("n_symbols / n_words", 0.25, 0.02),
-    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.60, 0.02),
-    "repeat_rate": ("n_repeat_words / n_words", 0.30, 0.02),
-    "word_length": ("word_chars / n_words", 12.0, 0.5),
+    "symbol_rate": ("n_symbols / n_words", 0.02),
+    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.02),
+    "repeat_rate": ("n_repeat_words / n_words", 0.02),
+    "word_length": ("word_chars / n_words", 0.1),
 }
+#: What the base rules reject.
+BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
 
 def repeated_words(words: Column) -> Column:
@@ -62,24 +64,24 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def bounds(rows: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataFrame:
-    """lang, source and an upper bound for each rate, from sketches of the rows that have words."""
-    rated = rows.filter("n_words > 0").select("lang", "source", *(F.expr(e).alias(k) for k, (e, _, _) in RATES.items()))
+    """lang, source and an upper bound for each rate, from sketches of the rows that the base rules pass."""
+    rated = rows.filter(f"not ({BASE_FAILED})").select("lang", "source", *(F.expr(e).alias(k) for k, (e, _) in RATES.items()))
     own = rated.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATES))
     own = cut(own)
 
     def merged(*keys: str) -> DataFrame:
         return own.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k).alias(k) for k in RATES))
 
-    def bound(sketch: Column, floor: float, least: float) -> Column:
-        low, high = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.5, 0.75))
-        return F.greatest(F.lit(floor), low + spreads * F.greatest(high - low, F.lit(least)))
+    def bound(sketch: Column, least: float) -> Column:
+        middle, upper, far = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.5, 0.75, 0.9))
+        return middle + spreads * F.greatest(upper - middle, (far - middle) / 1.9, F.lit(least))  # 1.9: both alike for normal rates
 
     def bounded(df: DataFrame, name: str) -> DataFrame:
-        limits = F.struct(*(bound(F.col(k), floor, least).alias(k) for k, (_, floor, least) in RATES.items()))
+        limits = F.struct(*(bound(F.col(k), least).alias(k) for k, (_, least) in RATES.items()))
         return df.withColumn(name, F.when(F.col("n") >= least_rows, limits)).drop("n", *RATES)
 
     everything = own.agg(*(F.kll_merge_agg_double(k).alias(k) for k in RATES))
-    everything = everything.select(F.struct(*(bound(F.col(k), floor, least).alias(k) for k, (_, floor, least) in RATES.items())).alias("of_all"))
+    everything = everything.select(F.struct(*(bound(F.col(k), least).alias(k) for k, (_, least) in RATES.items())).alias("of_all"))
     by_lang = bounded(merged("lang"), "of_lang").withColumnRenamed("lang", "its_lang")
     out = bounded(own, "of_group").join(by_lang, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
     out = out.withColumn("one", F.lit(1)).join(everything.withColumn("one", F.lit(1)), "one", "left")
@@ -92,9 +94,8 @@ def score(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataF
     limit = bounds(rows, least_rows, spreads)
     limit = limit.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), "bound")
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rated = rows.join(limit, same, "left").withColumn("base_failed", failed)
-    odd = F.coalesce(*(F.when(F.expr(f"if(n_words > 0, {e}, 0) > bound.{k}"), F.lit(k)) for k, (e, _, _) in RATES.items()))
+    rated = rows.join(limit, same, "left").withColumn("base_failed", F.expr(BASE_FAILED))
+    odd = F.coalesce(*(F.when(F.expr(f"if(n_words > 0, {e}, 0) > bound.{k}"), F.lit(k)) for k, (e, _) in RATES.items()))
     rated = rated.withColumn("broken_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(odd))
     return rated.withColumn("kept", F.col("broken_rule").isNull()).drop("of_lang", "of_source", "bound")
 
