@@ -2,23 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """End df's lineage in the shared checkpoint folder."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+from tessera.operators.lineage import cut
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame | None = None, rounds: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame | None = None, rounds: int = 100) -> DataFrame:
     """node, component (the smallest reachable node) of the undirected edges (a, b), by large and small stars; nodes adds lonely ones."""
     found = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct())
     before = None
@@ -33,6 +25,8 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None, round
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("m").alias("a"), F.col("v").alias("b")).union(low.select("m", "u"))
         found = cut(small.filter("a < b").distinct())
+    else:
+        raise RuntimeError(f"components are not settled after {rounds} rounds")
     every = edges.select(F.col("a").alias("node")).union(edges.select("b"))
     every = (every.union(nodes.select("node")) if nodes is not None else every).distinct()
     label = found.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import graph, intervals, ranking, scoring
+from tessera.operators.lineage import shared_folder
 from tessera.plans.agreement import TOP, table
 from tessera.plans.boards import VALS, values
 from tessera.plans.coverage import COVERED, OVERLAPS, SWEEP, gene_overlaps, r6
@@ -21,7 +21,7 @@ RUN = ["sample", "tool"]
 
 def scratch(spark: SparkSession) -> str:
     """A new path in the shared checkpoint folder."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    root = shared_folder(spark)
     return f"{root}/files-{uuid.uuid4().hex}"
 
 
