@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.lineage import cut, shared_folder, ship
+
+__all__ = ["cut", "shared_folder", "ship"]
+
 #: One slice of documents that numpy works on at a time, in bytes of text; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 19
 
@@ -21,27 +21,18 @@ _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write df to the shared checkpoint folder and go on from there, so that lineage ends and nothing is computed twice."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
-def ship(spark: SparkSession) -> None:
-    """Let executors import this package, wherever it lies on the driver."""
-    context = spark.sparkContext
-    if getattr(context, "_tessera_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    target = os.path.join(tempfile.mkdtemp(prefix="spark-"), "tessera_package.zip")
-    with zipfile.ZipFile(target, "w") as z:
-        for p in sorted(root.rglob("*.py")):
-            z.write(p, str(p.relative_to(root.parent)))
-    context.addPyFile(target)
-    context._tessera_shipped = True
+def row_id(*columns: Column) -> Column:
+    """128 bits that stand for the values of a row, nulls included: equal for equal rows alone, for all tables to come."""
+    marked = [x for c in columns for x in (c, c.isNull())]  # a null alone leaves no trace in a hash
+    return F.struct(F.xxhash64(*marked).alias("a"), F.xxhash64(F.lit("second"), *marked).alias("b"))
+
+
+def unused(docs: DataFrame, name: str) -> str:
+    """A column name that docs doesn't have."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
 
 
 def let(value: Column, body) -> Column:

@@ -3,10 +3,11 @@
 Words and word pairs fall into ``buckets``; counts over all documents (raw) and over the target rows are summed in Spark to one
 row a bucket. A text's log weight is the sum of its n-grams' log ratios. Adding a Gumbel draw keyed by the doc_id and
 keeping the k largest samples without replacement in proportion to the weights. The k-th largest is found by counting
-ever finer bins, so nothing is sorted in one place. k is a share of the rows: by default that of target rows among
-labelled ones.
+ever finer bins, and rows that tie there by their doc_id in the same way, so nothing is sorted in one place. k is a share of the
+rows: by default that of target rows among labelled ones.
 
-Null and empty texts have log weight 0. Rows with a null doc_id share one draw. Without target rows all ratios are 0.
+Null and empty texts have log weight 0. Rows with a null doc_id share one draw. Without target rows all ratios are 0; then no row is
+kept if rows are labelled, and every row if none is.
 Repeated rows each get a row. An empty table gives an empty result.
 """
 
@@ -66,17 +67,18 @@ def log_ratios(docs: DataFrame, target: DataFrame) -> np.ndarray:
     return np.log(own / own.sum()) - np.log(raw / raw.sum()) if own.sum() > BUCKETS else np.zeros(BUCKETS)
 
 
-def top_k(rows: DataFrame, key: str, k: int, tie: list[str], bins: int = 4096, last: int = 10_000) -> DataFrame:
-    """rows with ``kept``: whether a row is among the k with the greatest key, ties in the order of tie."""
+def top_k(rows: DataFrame, key: str, k: int, tie: tuple[str, ...] = (), bins: int = 4096, last: int = 10_000) -> DataFrame:
+    """rows with ``kept``: whether a row is among the k with the greatest key, then with the least of each column of tie, nulls last.
+
+    Rows that are alike in all of these are alike to it. rows is read more than once: it must be a table or a checkpoint.
+    """
     low, high, n = rows.agg(F.min(key), F.max(key), F.count("*")).first()
     if k <= 0 or not n:
         return rows.withColumn("kept", F.lit(False))
     need, inside = min(k, n), n
-    for _ in range(6):
-        if inside <= last or high <= low:
-            break
+    while inside > last and low < high:
         width = (high - low) / bins
-        at = F.least(F.floor((F.col(key) - low) / width), F.lit(bins - 1))
+        at = F.least(F.floor((F.col(key) - low) / width), F.lit(bins - 1)) if width else F.when(F.col(key) < high, 0).otherwise(1)
         counts = {r["at"]: (r["count"], r["low"], r["high"]) for r in rows.filter(F.col(key).between(low, high)).groupBy(at.alias("at")).agg(F.count("*").alias("count"), F.min(key).alias("low"), F.max(key).alias("high")).collect()}
         for b in sorted(counts, reverse=True):
             if need <= counts[b][0]:
@@ -84,9 +86,22 @@ def top_k(rows: DataFrame, key: str, k: int, tie: list[str], bins: int = 4096, l
                 break
             need -= counts[b][0]
     near = F.col(key).between(low, high)
-    order = Window.partitionBy("_near").orderBy(F.desc(key), *tie)
-    ranked = rows.filter(near).withColumn("_near", F.lit(0)).withColumn("kept", F.row_number().over(order) <= need).drop("_near")
-    return ranked.union(rows.filter(~near).withColumn("kept", F.col(key) > high))
+    others = rows.filter(~near).withColumn("kept", F.col(key) > high)
+    some = rows.filter(near)
+    if inside <= last:
+        order = Window.partitionBy("_near").orderBy(F.desc(key), *(F.asc_nulls_last(c) for c in tie))
+        return some.withColumn("_near", F.lit(0)).withColumn("kept", F.row_number().over(order) <= need).drop("_near").union(others)
+    if tie:  # all of one key
+        turned = some.withColumn("_tie", F.coalesce(-F.col(tie[0]).cast("double"), F.lit(float("-inf"))))
+        found = top_k(turned, "_tie", need, tie[1:], bins, last).drop("_tie")
+        return found.union(others)
+    some = some.withColumn("_part", F.spark_partition_id())
+    quota, left = [], need
+    for part, count in sorted(some.groupBy("_part").count().collect()):  # a row for each partition
+        quota.append(f"when {part} then {min(count, left)}")
+        left -= min(count, left)
+    inside_part = F.row_number().over(Window.partitionBy("_part").orderBy(F.lit(0)))
+    return some.withColumn("kept", inside_part <= F.expr(f"case _part {' '.join(quota)} end")).drop("_part").union(others)
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, seed: int = 7) -> DataFrame:
@@ -96,7 +111,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     labelled = labels.filter("doc_id is not null and quality is not null")
     if share is None:
-        share = labelled.agg(F.avg("quality")).first()[0] or 1.0
+        share = labelled.agg(F.avg("quality")).first()[0]
+        share = 1.0 if share is None else share
     ratios = spark.sparkContext.broadcast(log_ratios(docs, labelled.filter("quality = 1").select(F.col("doc_id").cast("long"))))
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,4 +126,4 @@ def resample(docs: DataFrame, labels: DataFrame, share: float | None = None, see
     rows = docs.mapInArrow(weigh, "doc_id long, log_weight double")
     draw = -F.log(-F.log(keyed(seed, F.col("doc_id")) + F.lit(1e-17)))
     rows = cut(rows.withColumn("gumbel_key", F.col("log_weight") + draw))
-    return top_k(rows, "gumbel_key", round(rows.count() * share), ["doc_id", "log_weight"])
+    return top_k(rows, "gumbel_key", round(rows.count() * share), ("doc_id", "log_weight"))

@@ -1,6 +1,7 @@
 """Language by compression: a text belongs to the language whose zstandard dictionary makes it smallest.
 
-Each language's dictionary is raw content: whole training texts in hash order up to ``dict_bytes``, a bounded sample.
+Each language's dictionary is raw content: whole training texts in hash order up to ``dict_bytes``, a bounded sample. A text that
+no longer fits is left out; of a language that has longer texts only, the first one's end is taken.
 Texts and dictionaries are lower-cased. Dictionaries are all that tasks get; every text is compressed once per language.
 A narrow margin between the smallest and the next marks the prediction as rejected; lang_pred still names the smallest.
 
@@ -17,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, held_out, ship
+from tessera.llm.common import cut, held_out, keyed, ship
 
 #: Rows of ids that may be broadcast.
 SMALL_ROWS = 100_000
@@ -25,21 +26,26 @@ SMALL_ROWS = 100_000
 
 def dictionaries(docs: DataFrame, dict_bytes: int, texts: int = 400) -> dict[str, bytes]:
     """For each language up to dict_bytes of at most texts training texts, the first in hash order last: near content is cheapest to refer to."""
-    known = docs.filter("lang is not null and text is not null and doc_id is not null").filter(~held_out()).filter(F.length("text").between(20, 20_000))
-    order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    # ids are ranked first, so that no text is shuffled; the picked ones are at most texts a language
-    picked = known.select("lang", "doc_id", F.xxhash64(F.lit(29), "doc_id").alias("h")).distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= texts)
+    known = docs.filter("lang is not null and text <> '' and doc_id is not null").filter(~held_out())
+    ids = known.select("lang", "doc_id", keyed(29, F.col("doc_id")).alias("draw"))
+    # a draw for each id leaves some more than are wanted of a language, so that ranking them is no task's burden; no text is shuffled
+    share = ids.groupBy("lang").agg(F.lit(4.0 * texts) / F.count("*")).collect()  # a row for each language
+    wanted = F.coalesce(*(F.when(F.col("lang") == lang, F.lit(float(most))) for lang, most in share), F.lit(0.0))
+    order = Window.partitionBy("lang").orderBy("draw", "doc_id")
+    picked = ids.filter(F.col("draw") < wanted).distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= texts)
     picked = cut(picked.select("lang", "doc_id", "n"))
     near = F.broadcast(picked) if picked.count() <= SMALL_ROWS else picked
     rows = known.join(near, ["lang", "doc_id"]).dropDuplicates(["lang", "n"])
     held: dict[str, list[bytes]] = {}
-    size: dict[str, int] = {}
+    long: dict[str, bytes] = {}
     for r in rows.orderBy("lang", "n").toLocalIterator():
         text = r["text"].lower().encode()
-        if size.get(r["lang"], 0) < dict_bytes:
-            held.setdefault(r["lang"], []).append(text)
-            size[r["lang"]] = size.get(r["lang"], 0) + len(text) + 1
-    return {k: b"\n".join(v[::-1])[-dict_bytes:] for k, v in held.items()}
+        own = held.setdefault(r["lang"], [])
+        if sum(map(len, own)) + len(own) + len(text) <= dict_bytes:
+            own.append(text)
+        else:
+            long.setdefault(r["lang"], text[-dict_bytes:])
+    return {k: b"\n".join(v[::-1]) or long[k] for k, v in held.items()}
 
 
 def identify(docs: DataFrame, dict_bytes: int = 100_000, level: int = 6, margin: float = 0.01) -> DataFrame:

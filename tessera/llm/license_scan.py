@@ -3,7 +3,7 @@
 Base labels are exact phrases. Beside them every 3-word gram of every text is hashed and joined to the positions at
 which license templates hold it; a gram votes for the diagonal (its place in the text less its place in the template).
 Votes of neighbouring diagonals are merged, so a word added or lost inside a notice doesn't part it, and a merged span
-is verified: how much of the template its grams cover, and that it is about as long as the template. The templates
+is verified: its grams are compared word by word with the template's, and decide how much of it is covered; and it must be about as long as the template. The templates
 are a fixed short list, so their table is of fixed size; grams that fall on none of its bits leave before they become
 rows.
 
@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, let
+from tessera.llm.common import cut, let, row_id
 from tessera.llm.native import bit_table, bucket, in_table, letter_words
 
 GRAM = 3
@@ -43,11 +43,11 @@ def gram_hash(words: Column, at: Column) -> Column:
 
 
 def templates(spark: SparkSession, known: tuple[tuple[str, str], ...]) -> DataFrame:
-    """gram, template, label, template_words, template_at: the positions of every gram of every template."""
+    """gram, said (its words), template, label, template_words, template_at: the positions of every gram of every template."""
     rows = spark.createDataFrame([(k, label, text) for k, (label, text) in enumerate(known)], "template int, label string, text string")
     rows = rows.select("template", "label", letter_words(F.col("text")).alias("w")).withColumn("template_words", F.size("w"))
     rows = rows.withColumn("template_at", F.explode(F.sequence(F.lit(0), F.col("template_words") - GRAM)))
-    return rows.select(gram_hash(F.col("w"), F.col("template_at")).alias("gram"), "template", "label", "template_words", "template_at")
+    return rows.select(gram_hash(F.col("w"), F.col("template_at")).alias("gram"), F.slice("w", F.col("template_at") + 1, F.lit(GRAM)).alias("said"), "template", "label", "template_words", "template_at")
 
 
 def places(words: Column, phrase: str, label: str) -> Column:
@@ -79,14 +79,15 @@ def scan(docs: DataFrame, known: tuple[tuple[str, str], ...] = TEMPLATES, least_
     def found(w: Column) -> Column:
         grams = F.transform(F.sequence(F.lit(0), F.size(w) - GRAM), lambda i: F.struct(gram_hash(w, i).alias("gram"), i.alias("at")))
         hits = F.when(F.size(w) >= GRAM, F.filter(grams, lambda x: in_table(have, x["gram"], TABLE_BITS)))
+        hits = F.transform(hits, lambda x: F.struct(x["gram"].alias("gram"), x["at"].alias("at"), F.slice(w, x["at"] + 1, F.lit(GRAM)).alias("said")))
         base = F.concat(*(places(w, phrase, label) for phrase, label in BASE.items()))
-        return F.struct(F.size(w).cast("long").alias("n_words"), base.alias("base"), F.coalesce(hits, F.expr("cast(array() as array<struct<gram: bigint, at: int>>)")).alias("hits"))
+        return F.struct(F.size(w).cast("long").alias("n_words"), base.alias("base"), F.coalesce(hits, F.expr("cast(array() as array<struct<gram: bigint, at: int, said: array<string>>>)")).alias("hits"))
 
-    row_key = F.xxhash64("doc_id", "text").alias("row_key")
+    row_key = row_id(F.col("doc_id").cast("long"), F.col("text")).alias("row_key")
     rows = docs.select(F.col("doc_id").cast("long"), row_key, let(letter_words(F.col("text")), found).alias("f"))
     rows = cut(rows.select("doc_id", "row_key", "f.n_words", "f.base", "f.hits"))
 
-    votes = rows.filter(F.size("hits") > 0).dropDuplicates(["row_key"]).select("row_key", F.inline("hits")).join(table, "gram")
+    votes = rows.filter(F.size("hits") > 0).dropDuplicates(["row_key"]).select("row_key", F.inline("hits")).join(table, ["gram", "said"])
     votes = votes.withColumn("diagonal", F.col("at") - F.col("template_at"))
     lines = votes.groupBy("row_key", "template", "label", "template_words", "diagonal").agg(F.collect_set("template_at").alias("covers"), F.min("at").alias("first"), F.max("at").alias("last"))
     along = Window.partitionBy("row_key", "template").orderBy("diagonal")

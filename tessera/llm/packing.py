@@ -3,8 +3,8 @@
 Documents are tokenized once, in tasks; only piece lengths and checksums go further. The histogram has at most
 ``capacity`` entries whatever the corpus, and so has the linear program: minimise the number of sequences over all
 configurations (multisets of lengths that fit) so that each length is covered. Multiplicative weights solve it, with
-an unbounded knapsack over the weights as pricing, and the fractional solution is rounded down; what rounding leaves is
-packed by best fit, longest first, still by length alone. Pieces then find their configuration by their rank among pieces of
+a knapsack over the weights as pricing, to within a known gap; its rounds cover shares of the histogram that are rounded down to whole
+pieces, and what is left (some hundredths) is packed by best fit, longest first, still by length alone. Pieces then find their configuration by their rank among pieces of
 their length, which is counted per bucket, so no task holds all pieces of a length.
 
 Null and empty texts are a document of the end token alone. Rows with a null doc_id and repeated rows are packed like
@@ -26,6 +26,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import cut, ship
 
+#: Value that a configuration may lose for each long piece that it takes in place of short ones.
+SLACK = 0.0006
 #: Entries of a worker's table of encoded words; a full table is emptied.
 CACHE_WORDS = 500_000
 _NEAR_WHITE = re.compile(r"\s | \s|^ | $")
@@ -125,45 +127,66 @@ def pieces(docs: DataFrame, path: str, ranks_path: str | None = None, pattern: s
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
-def price(value: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
-    """The multiset of lengths 1..len(value) within capacity of greatest value: dynamic programming over the room left."""
-    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
+def price(value: np.ndarray, capacity: int) -> np.ndarray:
+    """The greatest value of lengths 1..len(value) within each room 0..capacity: dynamic programming over the room."""
+    best = np.zeros(capacity + 1)
+    back = np.ascontiguousarray(value[::-1])
+    n = len(value)
     for room in range(1, capacity + 1):
+        most = min(room, n)
+        best[room] = max(best[room - 1], (back[n - most :] + best[room - most : room]).max())
+    return best
+
+
+def configuration(first: int, value: np.ndarray, best: np.ndarray, left: np.ndarray, slack: float) -> np.ndarray:
+    """How often each length stands in a configuration that holds first, no length more often than is left: at each place the longest one that costs no more than slack of the greatest value."""
+    used = np.zeros(len(value), np.int64)
+    room, pick = len(best) - 1, first
+    while True:
+        used[pick - 1] += 1
+        room -= pick
+        if not room:
+            return used
         most = min(room, len(value))
-        got = value[:most] + best[room - most : room][::-1]
-        k = int(np.argmax(got))
-        best[room], pick[room] = (got[k], k + 1) if got[k] > best[room - 1] else (best[room - 1], 0)
-    used, room = np.zeros(len(value), np.int64), capacity
-    while room:
-        if pick[room]:
-            used[pick[room] - 1] += 1
-            room -= pick[room]
-        else:
-            room -= 1
-    return float(best[capacity]), used
-
-
-def configurations(count: np.ndarray, capacity: int, rounds: int = 300, rate: float = 0.5) -> list[tuple[np.ndarray, float]]:
-    """A fractional cover of the histogram (count[i] pieces of length i + 1): configurations and how often each is used."""
-    if not count.any():
-        return []
-    there = count > 0
-    covered, found = np.zeros(len(count)), {}
-    for _ in range(rounds):
-        left = np.where(there, np.exp(-rate * covered / np.maximum(count, 1) * np.log(there.sum() + 1) * 2), 0.0)
-        # a length's weight falls as its share covered rises; long lengths first among equals
-        value = left / np.maximum(count, 1) + left * np.arange(1, len(count) + 1) / (count.sum() * capacity)
-        _, used = price(np.where(there, value, 0.0), capacity)
-        if not used.any():
-            break
-        on = used > 0
-        step = float((count[on] / used[on]).min())
-        key = used.tobytes()
-        found[key] = found.get(key, 0.0) + step
-        covered += used * step
-    share = (covered[there] / count[there]).min() if there.any() else 1.0
-    scale = 1.0 / max(share, 1.0)
-    return [(np.frombuffer(k, np.int64), v * scale) for k, v in found.items()]
+        got = np.where(left[:most] > used[:most], value[:most] + best[room - most : room][::-1], 0.0)
+        if not got.any():
+            return used
+        pick = int(np.flatnonzero((got > 0) & (got >= got.max() - slack))[-1]) + 1
+
+
+def configurations(count: np.ndarray, capacity: int, rate: float = 0.001, rounds: int = 8, batch: int = 48) -> tuple[dict[bytes, int], int, float]:
+    """The program's solution by multiplicative weights: configurations and how often each is used, its value, and a bound on any solution's.
+
+    Each round raises what must be covered of every length by the same share, rounded down to whole pieces, so all lengths are
+    covered at one pace. A length's weight starts at its share of the capacity, falls by exp(-rate) times the share of it that is
+    covered, and is zero while the round's share is. Knapsacks over the weights price configurations; those that come within rate of the
+    best are used, longest lengths first, as often as what is left of the round allows. A length that finds none waits for the next
+    round. Weights that no configuration exceeds are a solution of the dual: that is the bound. What the last round leaves is
+    covered by best fit, which counts.
+    """
+    lengths = np.arange(1, len(count) + 1)
+    covered, found, bound = np.zeros(len(count), np.int64), {}, 0.0
+    for k in range(1, rounds + 1):
+        left = count * k // rounds - covered
+        waits = np.zeros(len(count), bool)
+        while len(firsts := np.flatnonzero((left > 0) & ~waits)[::-1][:batch] + 1):
+            value = np.where(left > 0, lengths / capacity * np.exp(-rate * covered / np.maximum(count, 1)), 0.0)
+            best = price(value, capacity)
+            bound = max(bound, float(count @ value) / best[capacity])
+            for first in firsts.tolist():
+                if not left[first - 1]:
+                    continue
+                used = configuration(first, value, best, left, SLACK)
+                if used @ value < (1 - rate) * best[capacity]:
+                    waits[first - 1] = True
+                    continue
+                on = np.flatnonzero(used)
+                step = int((left[on] // used[on]).min())
+                key = used.tobytes()
+                found[key] = found.get(key, 0) + step
+                left[on] -= step * used[on]
+                covered[on] += step * used[on]
+    return found, sum(found.values()) + sum(n for _, n in best_fit(count - covered, capacity)), bound
 
 
 def best_fit(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
@@ -203,21 +226,26 @@ def best_fit(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return done + [(lengths, bins) for held in by_room.values() for lengths, bins in held]
 
 
-def plan(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
-    """Bins for every piece of the histogram: the rounded linear program with best fit for its rest, or best fit alone if that is less."""
+def plan(count: np.ndarray, capacity: int, gap: float = 0.01) -> list[tuple[list[int], int]]:
+    """Bins for every piece of the histogram: the program's configurations, and best fit for the pieces that they leave.
+
+    The weights' rate rises until a solution is within ``gap`` of the bound; the least of those found decides.
+    """
     count = np.asarray(count, np.int64)
+    if not count.any():
+        return []
+    tried = []
+    for rate in (0.001, 0.05, 0.5):
+        tried.append(configurations(count, capacity, rate))
+        if tried[-1][1] <= (1 + gap) * max(b for _, _, b in tried) + 1:
+            break
+    found, _, _ = min(tried, key=lambda x: x[1])
     left, bins = count.copy(), []
-    for used, times in sorted(configurations(count, capacity), key=lambda x: -float(x[0] @ np.arange(1, len(count) + 1))):
-        on = used > 0
-        if int(used @ np.arange(1, len(count) + 1)) < capacity:
-            continue  # rounding keeps full sequences only; best fit makes better ones of the rest
-        times = min(int(times), int((left[on] // used[on]).min()))
-        if times > 0:
-            left -= used * times
-            bins.append((np.repeat(np.arange(len(count), 0, -1), used[::-1]).tolist(), times))
-    bins += best_fit(left, capacity)
-    plain = best_fit(count, capacity)
-    return bins if sum(n for _, n in bins) <= sum(n for _, n in plain) else plain
+    for key, times in found.items():
+        used = np.frombuffer(key, np.int64)
+        left -= used * times
+        bins.append((np.repeat(np.arange(len(count), 0, -1), used[::-1]).tolist(), times))
+    return bins + best_fit(left, capacity)
 
 
 def place(count: np.ndarray, capacity: int) -> dict[str, np.ndarray]:

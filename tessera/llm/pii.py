@@ -3,9 +3,15 @@
 A surrogate comes from a keyed permutation of the strings of one format: each character stays in its class (digit, letter of a script,
 vowel or consonant in names), and a balanced mixing of the two halves of the character vector under the key is undone by no one
 without it. As it is a permutation, one entity always gets one surrogate, wherever it occurs, and two entities never share
-one; numbers written in several formats are permuted by their digits alone, e-mail addresses without regard to case. Walking
-on along the permutation's cycle keeps what must hold of a type: a card number that passes its check digit still does, an address
-stays public or private, a known given name stays among those of its gender. collisions() counts originals per surrogate over a whole table.
+one. Entities are brought to one form first: cards and bank accounts without separators, e-mail addresses without regard to case,
+telephone numbers without their country code or the zero before an area code, addresses as four numbers. What is taken off is put back, as are
+separators. Walking on along the permutation's cycle keeps what must hold of a type: a card number that passes its check
+digit still does, an address stays public or private. A bank account keeps its country, and its check digits are made anew. A known
+given name becomes the next one of its gender and script in an order of the key's own, so none stays as it is. A name that a title
+gives away is replaced wherever else the text has it, with or without a title.
+
+No surrogate is used unchecked: pseudonymise() and replace_in() first count originals for each surrogate over the whole table and
+raise an error if two share one.
 
 Null texts stay null and have no entities. Texts without entities are unchanged. Every row is kept, repeated and
 null-id rows too; an empty table gives an empty result.
@@ -40,12 +46,15 @@ _FINDERS = (
     ("secret", r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,}|gh[pousr]_[A-Za-z0-9]{36})\b"),
     ("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("phone", r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"),
+    ("phone", r"(?<!\d)0\d(?:[ .]\d\d){4}(?![ .]?\d)|(?<![\d.,-])0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,4})?(?![ .,-]?\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}(?!\d)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"),
     ("name", rf"\b(?:{_TITLES})\.? (?=[^\W\d_])[A-ZÀ-ÞЀ-Я][^\W\d_]+(?:[ -][A-ZÀ-ÞЀ-Я][^\W\d_]+)?"),
 )
+_WORD = re.compile(r"[^\W\d_]+")
 FINDER = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _FINDERS))
+#: Country codes of two digits; those from 1 and 7 have one, all others three.
+_TWO = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
 _MAYBE = re.compile(rf"[@\d]|\b(?:{_TITLES})\b")
 
 
@@ -156,18 +165,56 @@ def _ip(text: str, key: bytes) -> str:
     return _walk(".".join(str(int(v)) for v in text.split(".")), step, _network)
 
 
-def _name(text: str, key: bytes) -> str:
-    title, _, rest = text.partition(" ")
+def _one_name(word: str, key: bytes) -> str:
+    """A word of a name: a known given name's next in the key's order of its list, others by their letters."""
+    low = word.lower()
+    if names := _LISTS.get(low):
+        group = next(g for _, g in GIVEN if low in g)
+        order = sorted(group, key=lambda x: hashlib.blake2b(f"given|{names[0]}|{x}".encode(), key=key).digest())
+        return order[(order.index(low) + 1) % len(order)].title()
+    return _walk(word, lambda x: disguise(x, key, "name", True), lambda x: x.lower() in _LISTS)
+
+
+def _names(text: str, key: bytes) -> str:
+    return _WORD.sub(lambda m: _one_name(m[0], key), text)
+
 
-    def one(word: str) -> str:
-        low = word.lower()
-        if names := _LISTS.get(low):
-            group = next(g for _, g in GIVEN if low in g)
-            at = permute([group.index(low)], [len(names)], hashlib.blake2b(names[0].encode(), key=key, digest_size=32).digest())[0]
-            return group[at].title()
-        return _walk(word, lambda x: disguise(x, key, "name", True), lambda x: x.lower() in _LISTS)
+def _national(text: str, digits: str) -> int:
+    """How many of a telephone number's first digits stay: its country code and the zero before its area code."""
+    kept = 0
+    if text.startswith("+"):
+        kept = 1 if digits[0] in "17" else 2 if digits[:2] in _TWO else 3
+    return kept + (digits[kept : kept + 1] == "0")
 
-    return title + " " + re.sub(r"[^\W\d_]+", lambda m: one(m[0]), rest)
+
+def _check_digits(country: str, body: str) -> int:
+    return 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+
+
+def _iban(text: str, key: bytes) -> str:
+    plain = text.replace(" ", "")
+    country, own, body = plain[:2], int(plain[2:4]), plain[4:]
+    new = disguise(body, key, f"iban {country}")
+    check = (_check_digits(country, new) + own - _check_digits(country, body)) % 100  # right ones stay right
+    chars = iter(f"{country}{check:02d}{new}")
+    return "".join(c if c == " " else next(chars) for c in text)
+
+
+def identity(kind: str, text: str) -> str:
+    """What two spellings of one entity have in common, and no two entities."""
+    if kind == "ip":
+        return ".".join(str(int(v)) for v in text.split("."))
+    if kind == "phone":
+        return "+" * text.startswith("+") + re.sub(r"\D", "", text)
+    if kind == "card":
+        return re.sub(r"\D", "", text)
+    if kind == "iban":
+        return text.replace(" ", "")
+    if kind == "email":
+        return text.lower()
+    if kind == "name":
+        return " ".join(_WORD.findall(re.sub(rf"^(?:{_TITLES})\.? ", "", text).lower()))
+    return text
 
 
 def surrogate(kind: str, text: str, key: bytes) -> str | None:
@@ -178,40 +225,58 @@ def surrogate(kind: str, text: str, key: bytes) -> str | None:
     if kind == "card":
         return _refill(text, _walk(digits, lambda x: disguise(x, key, "card"), luhn))
     if kind == "phone":
-        lead = max(0, len(digits) - 10)  # the country code stays
-        return _refill(text, disguise(digits[lead:], key, "phone"), lead) if len(digits) >= 7 else None
+        lead = _national(text, digits)
+        return _refill(text, _walk(digits[lead:], lambda x: disguise(x, key, "phone"), lambda x: x[0] == "0"), lead) if len(digits) - lead >= 6 else None
     if kind == "email":
         local, _, domain = text.partition("@")
         host, _, top = domain.rpartition(".")
         return disguise(f"{local}@{host}", key, "email") + f".{top}.example"
     if kind == "name":
-        return _name(text, key)
+        title, _, rest = text.partition(" ")
+        return title + " " + _names(rest, key)
+    if kind == "iban":
+        return _iban(text, key)
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
         own = hashlib.blake2b(f"hex|{len(text)}".encode(), key=key, digest_size=32).digest()
         return "".join(f"{v:x}" if text == text.lower() else f"{v:X}" for v in permute([int(c, 16) for c in text], [16] * len(text), own))
     return disguise(text, key, kind)
 
 
+def _mentions(text: str, names: set[str]) -> re.Pattern | None:
+    """Names in full, and those of their words of four letters or more that the text never has in lower case."""
+    words = {w for n in names for w in _WORD.findall(n) if len(w) > 3}
+    plain = set(_WORD.findall(text)) if words else set()
+    every = sorted({n for n in names if " " in n or "-" in n} | {w for w in words if w.lower() not in plain}, key=lambda x: (-len(x), x))
+    return re.compile(rf"(?<![^\W_])(?:{'|'.join(map(re.escape, every))})(?![^\W_])") if every else None
+
+
 def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
     """The text with surrogates, and (kind, original, surrogate) of each place."""
     found: list[tuple[str, str, str]] = []
     if not _MAYBE.search(text):
         return text, found
+    places = [(m, new) for m in FINDER.finditer(text) if (new := surrogate(m.lastgroup, m[0], key)) is not None]
+    names = {m[0].partition(" ")[2] for m, _ in places if m.lastgroup == "name"}
+    again = _mentions(text, names) if names else None
 
     def swap(m: re.Match) -> str:
-        new = surrogate(m.lastgroup, m[0], key)
-        if new is None:
-            return m[0]
-        found.append((m.lastgroup, m[0], new))
+        new = _names(m[0], key)
+        found.append(("name", m[0], new))
         return new
 
-    return FINDER.sub(swap, text), found
+    out, at = [], 0
+    for m, new in places:
+        out.append(again.sub(swap, text[at : m.start()]) if again else text[at : m.start()])
+        found.append((m.lastgroup, m[0], new))
+        out.append(new)
+        at = m.end()
+    out.append(again.sub(swap, text[at:]) if again else text[at:])
+    return "".join(out), found
 
 
 def pseudonymise(docs: DataFrame, secret: str, with_entities: bool = False) -> DataFrame:
     """doc_id, text with surrogates, n_entities and kinds of each row; with_entities adds (kind, original, surrogate)."""
-    ship(docs.sparkSession)
-    key = hashlib.blake2b(secret.encode(), digest_size=32).digest()
+    key = checked(docs, secret)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entity = pa.list_(pa.struct([("kind", pa.string()), ("original", pa.string()), ("surrogate", pa.string())]))
@@ -229,17 +294,29 @@ def pseudonymise(docs: DataFrame, secret: str, with_entities: bool = False) -> D
 
 
 def collisions(docs: DataFrame, secret: str) -> DataFrame:
-    """kind, surrogate and how many different originals it stands for, where that is more than one; numbers by their digits."""
-    rows = pseudonymise(docs, secret, with_entities=True).select(F.inline("entities"))
-    plain = F.when(F.col("kind").isin("phone", "card"), F.right(F.regexp_replace("original", r"\D", ""), F.lit(19))).otherwise(F.lower("original"))
-    bare = F.when(F.col("kind").isin("phone", "card"), F.regexp_replace("surrogate", r"\D", "")).otherwise(F.lower("surrogate"))
-    return rows.groupBy("kind", bare.alias("surrogate")).agg(F.count_distinct(plain).alias("originals")).filter("originals > 1")
+    """kind, surrogate and how many different originals it stands for, where that is more than one."""
+    ship(docs.sparkSession)
+    key = hashlib.blake2b(secret.encode(), digest_size=32).digest()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = sorted({(k, identity(k, a), identity(k, b)) for t in batch.column("text").to_pylist() if t for k, a, b in replace(t, key)[1]})
+            yield pa.record_batch([pa.array([r[c] for r in rows], pa.string()) for c in range(3)], ["kind", "original", "surrogate"])
+
+    pairs = docs.select("text").mapInArrow(run, "kind string, original string, surrogate string").distinct()
+    return pairs.groupBy("kind", "surrogate").agg(F.count("*").alias("originals")).filter("originals > 1")
+
+
+def checked(docs: DataFrame, secret: str) -> bytes:
+    """The key, once no two entities of docs share a surrogate under it."""
+    if shared := collisions(docs, secret).limit(5).collect():
+        raise ValueError(f"two entities share a surrogate: {shared}")
+    return hashlib.blake2b(secret.encode(), digest_size=32).digest()
 
 
 def replace_in(docs: DataFrame, secret: str) -> DataFrame:
     """docs with surrogates in text, and n_chars, where there is such a column, as it then is."""
-    ship(docs.sparkSession)
-    key = hashlib.blake2b(secret.encode(), digest_size=32).digest()
+    key = checked(docs, secret)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

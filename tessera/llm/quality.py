@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, let
+from tessera.llm.common import cut, let, row_id, unused
 from tessera.llm.native import plain_words
 
 SYMBOLS = "#*$%&|<>"
@@ -49,10 +49,10 @@ def repeated_words(words: Column) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, source and the counts of each row."""
+    """doc_id (of any type), lang, source and the counts of each row."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, " \t\x0b\x0c\r", "")) > 0)
-    rows = docs.select(F.col("doc_id").cast("long"), "lang", "source", text.alias("text"))
+    rows = docs.select("doc_id", "lang", "source", text.alias("text"))
     words = plain_words(F.col("text"))
     return rows.select(
         "doc_id", "lang", "source",
@@ -90,6 +90,10 @@ def bounds(rows: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> Data
 
 def score(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataFrame:
     """Counts, base_failed, the rates, the first rule that a text breaks, and kept, for each row."""
+    return judge(docs.withColumn("doc_id", F.col("doc_id").cast("long")), least_rows, spreads)
+
+
+def judge(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataFrame:
     rows = cut(features(docs))
     limit = bounds(rows, least_rows, spreads)
     limit = limit.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), "bound")
@@ -100,8 +104,9 @@ def score(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataF
     return rated.withColumn("kept", F.col("broken_rule").isNull()).drop("of_lang", "of_source", "bound")
 
 
-def keep(docs: DataFrame) -> DataFrame:
+def keep(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataFrame:
     """docs without the rows that the rules reject; rows with a null doc_id are judged by their text like others."""
-    marked = docs.withColumn("_key", F.xxhash64("text", "lang", "source"))
-    judged = score(docs.withColumn("doc_id", F.xxhash64("text", "lang", "source"))).filter("not kept").select(F.col("doc_id").alias("_key")).distinct()
-    return marked.join(judged, "_key", "left_anti").select(docs.columns)
+    key, of = unused(docs, "row_id"), row_id(F.col("text"), F.col("lang"), F.col("source"))
+    judged = judge(docs.select(of.alias("doc_id"), "text", "lang", "source"), least_rows, spreads)
+    gone = judged.filter("not kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.withColumn(key, of).join(gone, key, "left_anti").select(docs.columns)

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import decontam, importance, langid, license_scan, packing, pii, quality, simhash, substring, toxicity
 
 
-#: The key of surrogates in the registered queries; a production run passes its own.
-SECRET = "a key that only the data's owner holds"
+#: The session setting that holds the secret of surrogates.
+SECRET = "spark.tessera.surrogate.secret"
+
+
+def surrogate_secret(spark: SparkSession) -> str:
+    """The session's secret. Where it has none, surrogates of this run can be told by no later one."""
+    return spark.conf.get(SECRET, None) or secrets.token_hex(32)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +36,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(documents(spark, sf_dir), SECRET)
+    return pii.pseudonymise(documents(spark, sf_dir), surrogate_secret(spark))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ and have a null component_id. Repeated rows each get a row. An empty table gives
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -23,7 +23,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, raw_texts, ship
+from tessera.llm.common import cut, raw_texts, row_id, ship, unused
+from tessera.operators.graph import connected_components
 
 def fingerprint(words: list[bytes], size: int) -> int:
     """Majority vote of the bits of XXH64 (seed 42) over all shingles, repeats included."""
@@ -61,9 +62,8 @@ def gray_rank(fp: np.ndarray) -> np.ndarray:
     return rank
 
 
-def _labels(n: int, i: np.ndarray, j: np.ndarray, label: np.ndarray | None = None) -> np.ndarray:
-    """Smallest index that each of n nodes reaches over the links (i, j), or over what label holds already."""
-    label = np.arange(n) if label is None else label
+def _labels(label: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Smallest index that each node reaches over the links (i, j) and what label holds already."""
     while len(i):
         a, b = label[i], label[j]
         open_ = a != b
@@ -81,20 +81,36 @@ def _labels(n: int, i: np.ndarray, j: np.ndarray, label: np.ndarray | None = Non
 
 
 class GrayIndex:
-    """Gray-sorted fingerprints under nodes of fan runs; a node keeps the bits that all its fingerprints share, and their mask."""
+    """One tree for each group of fingerprints, over rows sorted by (group, Gray rank).
 
-    def __init__(self, fp: np.ndarray, fan: int = 8) -> None:
-        self.fan, self.levels = fan, [(fp, np.full(len(fp), ~np.uint64(0)))]
-        both, any_ = fp, fp
-        while len(both) > 1:
-            at = np.arange(0, len(both), fan)
+    A node holds a run of up to ``fan`` neighbours, and keeps the bits that all fingerprints under it share, and their mask. Level 0
+    are the fingerprints themselves; a group's root is the level at which it has one node.
+    """
+
+    def __init__(self, group: np.ndarray, fp: np.ndarray, fan: int = 8) -> None:
+        self.levels: list[tuple[np.ndarray, np.ndarray]] = [(fp, np.full(len(fp), ~np.uint64(0)))]
+        self.children: list[np.ndarray] = []  # by level: first child of each node, and the end of the last one's
+        self.roots: list[np.ndarray] = []
+        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+        size = np.diff(np.r_[first, len(fp)])
+        both = any_ = fp
+        alone = size == 1
+        self.roots.append(first[alone])
+        while not alone.all():
+            parents = -(-size // fan)
+            head = np.cumsum(parents) - parents
+            at = np.repeat(first - fan * head, parents) + fan * np.arange(int(parents.sum()))
+            self.children.append(np.r_[at, len(both)])
             both, any_ = np.bitwise_and.reduceat(both, at), np.bitwise_or.reduceat(any_, at)
             self.levels.append((both, ~(both ^ any_)))
-
-    def links(self, limit: int, block: int = 1 << 15) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Blocks of all pairs i < j of fingerprints that differ in at most limit bits."""
-        zero = np.zeros(1, np.int64)
-        stack = [(len(self.levels) - 1, zero, zero, np.zeros(1, np.uint64), zero)]
+            self.roots.append(head[(parents == 1) & ~alone])
+            first, size, alone = head, parents, parents == 1
+        self.fan = fan
+
+    def pairs(self, limit: int, block: int = 1 << 16) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Blocks of all pairs i < j of one group whose fingerprints differ in at most limit bits, and in how many."""
+        stack = [(level, r, r, np.zeros(len(r), np.uint64), np.zeros(len(r), np.int64)) for level, r in enumerate(self.roots) if level and len(r)]
+        step = np.arange(self.fan)
         while stack:
             level, i, j, seen, differ = stack.pop()
             if len(i) > block:
@@ -107,47 +123,42 @@ class GrayIndex:
             near = differ <= limit
             if level == 0:
                 near &= i < j
-                yield i[near], j[near]
+                yield i[near], j[near], differ[near]
                 continue
             i, j, seen, differ = i[near], j[near], (seen | fresh)[near], differ[near]
-            size = len(self.levels[level - 1][0])
-            step = np.arange(self.fan)
-            a = np.repeat(i * self.fan, self.fan**2) + np.tile(np.repeat(step, self.fan), len(i))
-            b = np.repeat(j * self.fan, self.fan**2) + np.tile(np.tile(step, self.fan), len(j))
-            held = (a <= b) & (b < size) & (a < size)
-            stack.append((level - 1, a[held], b[held], np.repeat(seen, self.fan**2)[held], np.repeat(differ, self.fan**2)[held]))
-
-
-def linked_groups(group: np.ndarray, fp: np.ndarray, limit: int, small: int = 32) -> np.ndarray:
-    """For rows sorted by (group, Gray rank): the first row that each reaches over links inside its group."""
-    n = len(fp)
-    label = np.arange(n)
-    if n < 2:
-        return label
-    heads = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    sizes = np.diff(np.r_[heads, n])
-    left = np.repeat(heads + sizes, sizes) - np.arange(n)  # rows from here to the group's end
-    left[np.repeat(sizes, sizes) > small] = 0
-    found_i, found_j = [], []
-    for d in range(1, min(small, int(sizes.max()))):
-        i = np.flatnonzero(left > d)
-        i = i[np.bitwise_count(fp[i] ^ fp[i + d]) <= limit]
-        found_i.append(i)
-        found_j.append(i + d)
-    if found_i:
-        label = _labels(n, np.concatenate(found_i), np.concatenate(found_j), label)
-    for head, size in zip(heads[sizes > small].tolist(), sizes[sizes > small].tolist(), strict=True):
-        own = np.arange(size)
-        for i, j in GrayIndex(fp[head : head + size]).links(limit):
-            own = _labels(size, i, j, own)
-        label[head : head + size] = head + own
-    return label
-
-
-def links(nodes: DataFrame, limit: int = 4, node_rows: int = 2048) -> DataFrame:
+            child = self.children[level - 1]
+            wide = self.fan**2
+            a = np.repeat(child[i], wide) + np.tile(np.repeat(step, self.fan), len(i))
+            b = np.repeat(child[j], wide) + np.tile(step, self.fan * len(j))
+            held = (a <= b) & (a < np.repeat(child[i + 1], wide)) & (b < np.repeat(child[j + 1], wide))
+            stack.append((level - 1, a[held], b[held], np.repeat(seen, wide)[held], np.repeat(differ, wide)[held]))
+
+
+def star(index: GrayIndex, node: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of each linked group's smallest node to its others."""
+    label = np.arange(len(node))
+    for i, j, _ in index.pairs(limit):
+        label = _labels(label, i, j)
+    least = np.full(len(node), np.iinfo(np.int64).max)
+    np.minimum.at(least, label, node)
+    a = least[label]
+    return a[a != node], node[a != node]
+
+
+def nearest(index: GrayIndex, node: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each row the nearest row before it in Gray order, the first of equally near ones: real links, one a row at most."""
+    best = np.full(len(node), np.iinfo(np.int64).max)
+    for i, j, differ in index.pairs(limit):
+        np.minimum.at(best, j, differ.astype(np.int64) << 48 | i)
+    j = np.flatnonzero(best < np.iinfo(np.int64).max)
+    return node[best[j] & ((1 << 48) - 1)], node[j]
+
+
+def links(nodes: DataFrame, limit: int = 4, node_rows: int = 2048, of_group: Callable = star) -> DataFrame:
     """Links (a, b), a < b, whose components are those of all pairs of fingerprints that differ in at most limit bits.
 
-    nodes: fp, node (distinct). Of limit + 2 blocks, two agree; the wider the limit, the fewer bits an upper node names.
+    nodes: fp, node (distinct). Of limit + 2 blocks, two agree; the wider the limit, the fewer bits an upper node names. With
+    ``nearest`` as of_group, links are pairs that are this near themselves, a few for each node.
     """
     if not 0 <= limit <= 12:
         raise ValueError("limit must be 0 to 12")
@@ -161,7 +172,7 @@ def links(nodes: DataFrame, limit: int = 4, node_rows: int = 2048) -> DataFrame:
     large = upper.groupBy("mask", "pattern").count().filter(F.col("count") > node_rows)
     large = large.select("mask", "pattern", F.ceil(F.col("count") / node_rows).cast("int").alias("parts"))
     upper = upper.join(cut(large), ["mask", "pattern"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    part = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     upper = upper.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     key = ["mask", "pattern", "low", "high"]
     dealt = upper.select("mask", "pattern", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "fp", "node")
@@ -178,41 +189,18 @@ def links(nodes: DataFrame, limit: int = 4, node_rows: int = 2048) -> DataFrame:
         for k in key:
             v = col[k][order]
             change[1:] |= v[1:] != v[:-1]
-        label = linked_groups(np.cumsum(change), fp, limit)
-        least = np.full(len(fp), np.iinfo(np.int64).max)
-        np.minimum.at(least, label, node)
-        a = least[label]
-        far = a != node
-        yield pa.record_batch([pa.array(a[far]), pa.array(node[far])], ["a", "b"])
+        a, b = of_group(GrayIndex(np.cumsum(change), fp), node, limit)
+        yield pa.record_batch([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     ship(nodes.sparkSession)
     return dealt.repartition(*key).mapInArrow(run, "a long, b long").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, component: the smallest node that each node of the edges (a, b) reaches, by alternating large and small stars."""
-    edges = cut(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a < b").distinct())
-    was = None
-    for _ in range(rounds):
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % (1 << 40))).first()
-        if now == was or not now[0]:
-            break
-        was = now
-        both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(edges.select("b", "a"))
-        near = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.filter("v > u").join(near, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        pairs = small.select(F.col("m").alias("a"), F.col("v").alias("b")).union(least.select(F.col("m"), F.col("u")))
-        edges = cut(pairs.filter("a < b").distinct())
-    return edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("component"))
-
-
 def near_duplicates(docs: DataFrame, shingle: int = 4, limit: int = 4) -> DataFrame:
     """doc_id, fp, component_id of each row of docs; component_id is the smallest doc_id reachable over links."""
     fps = cut(fingerprints(docs, shingle))
     nodes = cut(fps.filter(F.col("doc_id").isNotNull()).groupBy("fp").agg(F.min("doc_id").alias("node")))
-    found = components(links(nodes, limit))
+    found = connected_components(links(nodes, limit))
     label = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     known = fps.filter(F.col("doc_id").isNotNull()).join(label, "fp", "left").select("doc_id", "fp", "component_id")
     return known.union(fps.filter(F.col("doc_id").isNull()).select("doc_id", "fp", F.lit(None).cast("long")))
@@ -225,11 +213,13 @@ def hex_fingerprint(fp: str = "fp"):
 def deduplicate(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each group: the smallest doc_id; a row with a null doc_id stays.
 
-    Groups are joined by pairs whose distinct shingles have a Jaccard index of the similarity or more. Such pairs lie up to some 14
-    bits apart, where fingerprints of 64 bits name about all pairs of unrelated texts too, so shingles themselves find them.
+    Groups hang together by pairs whose distinct shingles have a Jaccard index of the similarity or more. The Gray index names
+    pairs that differ in a few bits; each is verified on its shingles. Pairs of 0.8 lie up to some 14 bits apart, where fingerprints of 64
+    bits name about all pairs of unrelated texts too, so the pairs that the index can't see come from shingles themselves (jaccard.py).
     """
-    from tessera.llm import jaccard  # it takes components from here
+    from tessera.llm import jaccard  # it takes the index from here
 
+    key = unused(docs, "row_id")
     groups = jaccard.near_copies(docs, shingle, similarity)
-    gone = groups.filter("component_id <> doc_id").select("_row_key").distinct()
-    return docs.withColumn("_row_key", F.xxhash64(F.col("doc_id"), "text")).join(gone, "_row_key", "left_anti").select(docs.columns)
+    gone = groups.filter("component_id <> doc_id").select(F.col("row_id").alias(key)).distinct()
+    return docs.withColumn(key, row_id(F.col("doc_id").cast("long"), F.col("text"))).join(gone, key, "left_anti").select(docs.columns)

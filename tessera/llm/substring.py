@@ -1,10 +1,10 @@
 """Removal of word windows that also start in a document with a smaller doc_id, behind a count-min prefilter.
 
-Pass 1: each task makes a sketch of its documents' windows, and sketches merge range by range. A window is
+Pass 1: each task makes a count-min sketch of its documents' windows, two rows of cells, and sketches merge range by range. A window is
 counted under its anchor, the smallest hash among its 8-word grams: equal windows have equal anchors, so an anchor's
-count is never below the window's, and it takes a fifth of the cells that the windows themselves would. Merging keeps
-one bit for each cell: estimated in two or more places. That bit table is all that is broadcast, at most
-2 ** MAX_SKETCH_BITS bits (64 MB); a fuller table lets more windows through and loses none.
+count is never below the window's, and it takes a fifth of the cells that the windows themselves would. Its estimate is the least of
+its two cells' counts. As only one question is asked of it, merging keeps a bit for each cell: two or more. That bit table is all that
+is broadcast, at most 2 ** MAX_SKETCH_BITS bits (64 MB); a fuller table lets more windows through and loses none.
 
 Pass 2: only windows whose anchor is estimated repeated are grouped, by a 96-bit digest beside the range that the
 anchor names. A task first groups its own, so a window that a third of all documents hold sends one record a task.
@@ -73,7 +73,7 @@ def windows(s: Slice, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     return anchor[whole], digest[whole], doc[whole], place[whole]
 
 
-def _sketch_rows(cells: np.ndarray, bits: int) -> pa.RecordBatch:
+def sketch_rows(cells: np.ndarray, bits: int) -> pa.RecordBatch:
     """A task's part sketch: for each range its cells, those seen once and those seen more often."""
     cells, count = np.unique(cells, return_counts=True)
     per = max(1, (1 << bits) // RANGES)
@@ -86,9 +86,25 @@ def _sketch_rows(cells: np.ndarray, bits: int) -> pa.RecordBatch:
     return pa.record_batch([pa.array([x[k] for x in rows], t) for k, t in enumerate((pa.int32(), pa.binary(), pa.binary()))], ["range", "once", "more"])
 
 
+def sketch_bits(documents: int) -> int:
+    """Bits that name a cell of a sketch, by the documents that it is for: at most MAX_SKETCH_BITS."""
+    return min(MAX_SKETCH_BITS, max(16, math.ceil(math.log2(1024 * max(documents, 1)))))
+
+
+def cells(h: np.ndarray, bits: int) -> np.ndarray:
+    """The cells of each hash, one in each row of the sketch."""
+    shift, row = np.uint64(65 - bits), np.uint64(1 << (bits - 1))
+    return np.stack([h >> shift, (mix(h) >> shift) + row]).astype(np.uint32)
+
+
+def estimated_twice(table: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
+    """Whether both cells of each hash have counted two or more."""
+    c = cells(h, bits)
+    return ((table[c >> np.uint32(3)] >> (np.uint32(7) - (c & np.uint32(7))).astype(np.uint8)) & 1).all(0)
+
+
 def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 21) -> np.ndarray:
     """The merged sketch as packed bits: cells that two or more windows fall into."""
-    shift = np.uint64(64 - bits)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
@@ -97,13 +113,19 @@ def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 21)
                 anchor, _, doc, _ = windows(s, size)
                 if len(anchor):
                     fresh = np.r_[True, (anchor[1:] != anchor[:-1]) | (doc[1:] != doc[:-1])]
-                    held.append((anchor[fresh] >> shift).astype(np.uint32))
+                    held.append(cells(anchor[fresh], bits).reshape(-1))
                     n += len(held[-1])
                 if n >= flush:
-                    yield _sketch_rows(np.concatenate(held), bits)
+                    yield sketch_rows(np.concatenate(held), bits)
                     held, n = [], 0
         if n:
-            yield _sketch_rows(np.concatenate(held), bits)
+            yield sketch_rows(np.concatenate(held), bits)
+
+    return merged_cells(docs.select("text").mapInArrow(sketch, "range int, once binary, more binary"), bits)
+
+
+def merged_cells(parts: DataFrame, bits: int) -> np.ndarray:
+    """One bit for each cell that the part sketches (range, once, more) fall into twice or more."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         per, now, count = max(1, (1 << bits) // RANGES), None, None
@@ -123,7 +145,6 @@ def repeated_cells(docs: DataFrame, size: int, bits: int, flush: int = 1 << 21)
         if now is not None:
             yield done()
 
-    parts = docs.select("text").mapInArrow(sketch, "range int, once binary, more binary")
     parts = parts.repartition("range").sortWithinPartitions("range").mapInArrow(merge, "range int, bits binary")
     out = np.zeros((1 << bits) // 8, np.uint8)
     per = len(out) // RANGES
@@ -196,7 +217,6 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarra
 def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1 << 20) -> DataFrame:
     """doc_id, text_key, places: packed first words of the windows that a smaller doc_id has too; a row for each document that has any."""
     flags = docs.sparkSession.sparkContext.broadcast(repeated_cells(docs, size, bits))
-    shift = np.uint64(64 - bits)
 
     def shrink(rec: dict[str, list]) -> Iterator[pa.RecordBatch]:
         gone, one = _split({k: np.concatenate(v) for k, v in rec.items()})
@@ -212,8 +232,7 @@ def removals(docs: DataFrame, size: int, bits: int, ranges: int, flush: int = 1
             ids, keys = (batch.column(c).to_numpy() for c in ("doc_id", "text_key"))
             for s in slices(*texts(batch.column("text"))):
                 anchor, digest, doc, place = windows(s, size)
-                cell = anchor >> shift
-                hit = np.flatnonzero(seen[cell >> np.uint64(3)] >> (7 - (cell & np.uint64(7))).astype(np.uint8) & 1)
+                hit = np.flatnonzero(estimated_twice(seen, anchor, bits))
                 if len(hit):
                     row = s.first + doc[hit]
                     for c, v in (("anchor", anchor[hit]), ("digest", digest[hit]), ("doc", ids[row]), ("key", keys[row]), ("place", place[hit].astype(np.uint32))):
@@ -275,7 +294,7 @@ def deduplicate(docs: DataFrame, size: int = 13, with_text: bool = False) -> Dat
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
     n = docs.count()
-    bits = min(MAX_SKETCH_BITS, max(16, math.ceil(math.log2(1024 * max(n, 1)))))
+    bits = sketch_bits(n)
     ranges = max(16, n // 2000)
     kept = keep_words(size)
 
