@@ -6,13 +6,13 @@ sequences. Stages drop rows (rules, duplicates, contaminated documents) or chang
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import decontam, packing, pii, quality, simhash
-from tessera.llm.queries import SECRET
+from tessera.llm.common import shared_folder
+from tessera.llm.queries import surrogate_secret
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +28,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pii.replace_in(docs, SECRET)
+    return pii.replace_in(docs, surrogate_secret(spark))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,12 +47,19 @@ STAGES = [
 ORACLE_SQL = None
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Drop a stage's rows once the next one's are written."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pieces of the sequences that documents end in. Each stage's rows are written to the shared folder and read again."""
-    root = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
-    base = f"{root}/pipeline-{uuid.uuid4().hex}"
+    base = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")
         docs = spark.read.parquet(f"{base}/{k}")
+        if k:
+            remove(spark, f"{base}/{k - 1}")
     return docs
