@@ -37,11 +37,6 @@ def a10(v: Views) -> DataFrame:
     return both.select(F.coalesce("record_id", "sequence_id").alias("record_id"), problem.alias("problem")).filter("problem is not null")
 
 
-@query("a04_paired_reads", "SELECT conv_id, turn DIV 2 AS pair, count(*) AS mates, count(*) = 2 AS whole FROM conversations GROUP BY ALL".replace("turn DIV 2", "CAST(floor(turn / 2.0) AS BIGINT)"))
-def a04(v: Views) -> DataFrame:
-    return v.conversations.groupBy("conv_id", F.floor(F.col("turn") / 2.0).alias("pair")).agg(F.count("*").alias("mates"), (F.count("*") == 2).alias("whole"))
-
-
 @query("a07_json_fields", "SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
 def a07(v: Views) -> DataFrame:
     return v.events.select("event_id", F.get_json_object("props", "$.k").alias("k"))

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.arrays import pieces
+from tessera.operators import sketches
 from tessera.operators.intervals import windows_of
+from tessera.operators.kmers import kmer_counts
 from tessera.operators.ranking import weighted_quantile
 from tessera.plans.coverage import r6
 from tessera.plans.registry import query
@@ -19,57 +20,47 @@ def reverse_complement(s: Column) -> Column:
     return F.reverse(F.translate(s, "ACGT", "TGCA"))
 
 
-def kmers(seqs: DataFrame, k: int, *keep: str) -> DataFrame:
-    """A row for each canonical k-mer of A, C, G, T: the smaller of itself and its reverse complement."""
-    words = seqs.select(*keep, F.explode(pieces(F.col("sequence"), k)).alias("w")).filter(~F.col("w").rlike("[^ACGT]"))
-    return words.select(*keep, F.least("w", reverse_complement(F.col("w"))).alias("kmer"))
-
-
 SMALL = "km AS (SELECT id, source, least(w, reverse(translate(w, 'ACGT', 'TGCA'))) AS kmer FROM (SELECT id, source, substr(sequence, i, 15) AS w FROM (SELECT id, source, sequence, unnest(range(1, length(sequence) - 13)) AS i FROM v_seq WHERE length(sequence) >= 15)))"
 
 
 @query("l01_canonical_kmers", "SELECT source, count(*) AS kmers, count(DISTINCT kmer) AS distinct_kmers FROM km GROUP BY source", SMALL)
 def l01(v: Views) -> DataFrame:
-    return kmers(v.v_seq, K, "source").groupBy("source").agg(F.count("*").alias("kmers"), F.count_distinct("kmer").alias("distinct_kmers"))
+    return kmer_counts(v.v_seq, K, "source").groupBy("source").agg(F.sum("n").alias("kmers"), F.count("*").alias("distinct_kmers"))
 
 
 @query("l02_repeat_content", """
 SELECT id, count(*) AS kmers, count(*) FILTER (own > 1) AS repeated, count(*) FILTER (docs > 1) AS shared FROM (SELECT id, count(*) OVER (PARTITION BY id, kmer) AS own, (max(r) OVER (PARTITION BY kmer)) AS docs FROM (SELECT id, kmer, dense_rank() OVER (PARTITION BY kmer ORDER BY id) AS r FROM km)) GROUP BY id""", SMALL)
 def l02(v: Views) -> DataFrame:
     """k-mers are first counted per sequence, so a k-mer's group has one row a sequence."""
-    own = kmers(v.v_seq, K, "id").groupBy("id", "kmer").agg(F.count("*").alias("n"))
+    own = kmer_counts(v.v_seq, K, "id")
     wide = own.groupBy("kmer").agg(F.count("*").alias("docs"))
     rows = own.join(wide, "kmer")
     return rows.groupBy("id").agg(F.sum("n").alias("kmers"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated"), F.sum(F.when(F.col("docs") > 1, F.col("n")).otherwise(0)).alias("shared"))
 
 
+def sampled(v: Views) -> DataFrame:
+    return kmer_counts(v.v_seq, K, "id").filter(F.pmod(F.xxhash64("kmer"), F.lit(50)) == 0).select("id", "kmer")
+
+
 @query("l03_scaled_kmer_sample")
 def l03(v: Views) -> DataFrame:
-    return kmers(v.v_seq, K, "id").distinct().filter(F.pmod(F.xxhash64("kmer"), F.lit(50)) == 0).groupBy("id").agg(F.count("*").alias("sampled"))
+    return sampled(v).groupBy("id").agg(F.count("*").alias("sampled"))
 
 
 @query("k04_sketch_distance_pairs")
 def k04(v: Views) -> DataFrame:
-    """Pairs of sequences by the Jaccard index of their sampled k-mers. Equal sketches are one class first; hashes that over 50 classes share make no pairs by themselves but still count in those that others make."""
-    sample = kmers(v.v_seq, K, "id").distinct().filter(F.pmod(F.xxhash64("kmer"), F.lit(50)) == 0)
-    sketch = sample.groupBy("id").agg(F.array_sort(F.collect_set(F.xxhash64("kmer"))).alias("s"))
-    classes = sketch.groupBy("s").agg(F.min("id").alias("id"), F.count("*").alias("members"))
-    words = classes.select("id", F.size("s").alias("n"), F.explode("s").alias("h"))
-    a, b = words.select(F.col("id").alias("a"), F.col("n").alias("na"), "h"), words.select(F.col("id").alias("b"), F.col("n").alias("nb"), "h")
-    rare = words.groupBy("h").count().filter("count <= 50").select("h")
-    pairs = a.join(rare, "h").join(b, "h").filter("a < b").select("a", "b").distinct()
-    both = pairs.join(a, "a").join(b, ["b", "h"]).groupBy("a", "b", "na", "nb").agg(F.count("*").alias("common"))
-    j = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    return both.select("a", "b", j.alias("jaccard"), (-F.ln(2 * j / (1 + j)) / K).alias("distance")).filter("distance <= 0.1")
+    return sketches.pairs(sampled(v), K, 0.1)
 
 
 @query("c12_kmer_containment", """
-SELECT a.id, count(DISTINCT a.kmer) AS kmers, count(DISTINCT CASE WHEN c.kmer IS NOT NULL THEN a.kmer END) AS inside, round(count(DISTINCT CASE WHEN c.kmer IS NOT NULL THEN a.kmer END) / CAST(count(DISTINCT a.kmer) AS DOUBLE), 6) AS containment FROM km a LEFT JOIN (SELECT DISTINCT kmer FROM km WHERE source = 'src0') c ON a.kmer = c.kmer WHERE a.source = 'src1' GROUP BY a.id""", SMALL)
+SELECT a.id, c.source AS class, count(*) AS inside, round(count(*) / CAST(max(a.n) AS DOUBLE), 6) AS containment FROM (SELECT *, count(*) OVER (PARTITION BY id) AS n FROM (SELECT DISTINCT id, kmer FROM km)) a JOIN (SELECT DISTINCT source, kmer FROM km) c ON a.kmer = c.kmer GROUP BY a.id, c.source""", SMALL)
 def c12(v: Views) -> DataFrame:
-    words = kmers(v.v_seq, K, "id", "source")
-    inside = words.filter("source = 'src0'").select("kmer").distinct().withColumn("hit", F.lit(1))
-    rows = words.filter("source = 'src1'").select("id", "kmer").distinct().join(inside, "kmer", "left")
-    return r6(rows.groupBy("id").agg(F.count("*").alias("kmers"), F.count("hit").alias("inside"), (F.count("hit") / F.count("*")).alias("containment")), "containment")
+    """Each k-mer brings the classes that hold it as one list, so that a join's row is a k-mer of a sequence, and lists are as long as there are classes."""
+    own = kmer_counts(v.v_seq, K, "id")
+    classes = kmer_counts(v.v_seq, K, "source").groupBy("kmer").agg(F.collect_list("source").alias("classes"))
+    n = own.groupBy("id").agg(F.count("*").alias("n"))
+    inside = own.join(classes, "kmer").select("id", F.explode("classes").alias("class")).groupBy("id", "class").agg(F.count("*").alias("inside"))
+    return r6(inside.join(n, "id").select("id", "class", "inside", (F.col("inside") / F.col("n")).alias("containment")), "containment")
 
 
 @query("i07_reverse_complement", "SELECT id, md5(reverse(translate(sequence, 'ACGT', 'TGCA'))) AS digest FROM v_seq")
@@ -151,24 +142,12 @@ def f09(v: Views) -> DataFrame:
     return odd.groupBy("region", "kind").agg(F.min("win").alias("first_win"), F.max("win").alias("last_win"), F.count("*").alias("windows"))
 
 
-@query("l07_read_pair_metrics", """
-SELECT conv_id, count(*) AS reads, CAST(sum(length(text)) AS BIGINT) AS bases, round(avg(length(text)), 6) AS mean_length, count(*) - count(DISTINCT substr(text, 1, 20)) AS duplicates, count(*) FILTER (strpos(text, 'the') > 0) AS adapter FROM conversations WHERE text IS NOT NULL GROUP BY conv_id""")
-def l07(v: Views) -> DataFrame:
-    t = v.conversations.filter("text is not null")
-    return r6(t.groupBy("conv_id").agg(F.count("*").alias("reads"), F.sum(F.length("text")).alias("bases"), F.avg(F.length("text")).alias("mean_length"), (F.count("*") - F.count_distinct(F.substring("text", 1, 20))).alias("duplicates"), F.count_if(F.instr("text", "the") > 0).alias("adapter")), "mean_length")
-
-
 @query("l10_depth_ratio", "SELECT sample, round(quantile_cont(depth, 0.5) FILTER (label = 'PLASMID') / quantile_cont(depth, 0.5) FILTER (label = 'CHROMOSOME'), 6) AS ratio FROM v_contig GROUP BY sample")
 def l10(v: Views) -> DataFrame:
     med = lambda k: F.percentile(F.when(F.col("label") == k, F.col("depth")), F.lit(0.5))
     return r6(v.v_contig.groupBy("sample").agg((med("PLASMID") / med("CHROMOSOME")).alias("ratio")), "ratio")
 
 
-@query("l08_depth_per_replicon", "SELECT replicon, count(*) AS positions, round(sum(depth), 4) AS total, round(sum(depth) / (max(pos) - min(pos) + 1), 6) AS mean_depth FROM v_depth GROUP BY replicon")
-def l08(v: Views) -> DataFrame:
-    return v.v_depth.groupBy("replicon").agg(F.count("*").alias("positions"), F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum("depth") / (F.max("pos") - F.min("pos") + 1), 6).alias("mean_depth"))
-
-
 @query("l11_thinning_ladder")
 def l11(v: Views) -> DataFrame:
     """Nested subsamples: a pair is in a rung if its keyed draw is below the rung's fraction."""
@@ -176,15 +155,14 @@ def l11(v: Views) -> DataFrame:
     return rows.filter(F.pmod(F.xxhash64(F.lit(5), "conv_id"), F.lit(1_000_000)) < F.col("rung") * 1_000_000).groupBy("rung").agg(F.count("*").alias("reads"), F.count_distinct("conv_id").alias("pairs"))
 
 
-@query("l12_quality_ladder", "SELECT rung, count(*) AS reads FROM conversations JOIN (SELECT unnest([20, 80, 200]) AS rung) ON length(text) >= rung GROUP BY rung HAVING count(*) >= 5")
-def l12(v: Views) -> DataFrame:
-    rows = v.conversations.select(F.length("text").alias("n"), F.explode(F.array(*map(F.lit, (20, 80, 200)))).alias("rung"))
-    return rows.filter("n >= rung").groupBy("rung").agg(F.count("*").alias("reads")).filter("reads >= 5")
-
-
 @query("l13_coverage_baseline", """
 SELECT sample, count(*) AS contigs, count(*) FILTER (depth >= 1.3 * med) AS predicted, count(*) FILTER (depth >= 1.3 * med AND label = 'PLASMID') AS right_ones FROM v_contig JOIN (SELECT sample, min(depth) AS med FROM (SELECT sample, depth, sum(w) OVER (PARTITION BY sample ORDER BY depth ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY sample) AS total FROM (SELECT sample, depth, sum(length) AS w FROM v_contig GROUP BY ALL)) WHERE run >= 0.5 * total GROUP BY sample) USING (sample) GROUP BY sample""")
 def l13(v: Views) -> DataFrame:
     med = weighted_quantile(v.v_contig, ["sample"], "depth", "length", 0.5).withColumnRenamed("quantile", "med")
     hit = F.col("depth") >= 1.3 * F.col("med")
     return v.v_contig.join(med, "sample").groupBy("sample").agg(F.count("*").alias("contigs"), F.count_if(hit).alias("predicted"), F.count_if(hit & (F.col("label") == "PLASMID")).alias("right_ones"))
+
+
+@query("l08_depth_per_replicon", "SELECT replicon, count(*) AS positions, round(sum(depth), 4) AS total, round(sum(depth) / (max(pos) - min(pos) + 1), 6) AS mean_depth FROM v_depth GROUP BY replicon")
+def l08(v: Views) -> DataFrame:
+    return v.v_depth.groupBy("replicon").agg(F.count("*").alias("positions"), F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum("depth") / (F.max("pos") - F.min("pos") + 1), 6).alias("mean_depth"))

@@ -73,11 +73,16 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""",
 _SEQ = """
 SELECT doc_id AS id, source, translate(regexp_replace(lower(text), '[^a-z]', ''{global_}),
        'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC') AS sequence FROM documents"""
+_READS = """
+SELECT conv_id % 5 AS sample, conv_id * 100 + turn // 2 AS pair, CAST(turn % 2 + 1 AS INT) AS mate, translate(letters, 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTNCGTACGTAC') AS seq,
+       translate(letters, 'abcdefghijklmnopqrstuvwxyz', 'IHGFEDCBA@?>=<;:9876543210') AS qual FROM (SELECT conv_id, turn, regexp_replace(lower(text), '[^a-z]', ''{global_}) AS letters FROM conversations) WHERE letters <> ''"""
 SPARK_TEXTS = TEXTS | {
+    "v_reads": _READS.replace("{global_}", "").replace("turn // 2", "turn div 2"),
     "v_seq": _SEQ.replace("{global_}", ""),
     "v_depth": "SELECT user_id AS replicon, CAST(floor(unix_micros(CAST(ts AS TIMESTAMP)) / 60000000) AS BIGINT) - 28401120 AS pos, value AS depth FROM events",
 }
 DUCK_TEXTS = TEXTS | {
+    "v_reads": _READS.replace("{global_}", ", 'g'"),
     "v_seq": _SEQ.replace("{global_}", ", 'g'"),
     "v_depth": "SELECT user_id AS replicon, CAST(floor(epoch(ts) / 60) AS BIGINT) - 28401120 AS pos, value AS depth FROM events",
 }
