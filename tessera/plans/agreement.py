@@ -63,30 +63,6 @@ def d14(v: Views) -> DataFrame:
     return bins.splits_and_merges(table(v), ["sample", "tool"])
 
 
-@query("k01_maximum_weight_matching", "SELECT tool, CAST(2 AS BIGINT) AS least_pairs, true AS one_to_one, true AS no_worse_than_greedy FROM tab GROUP BY tool", BINNED)
-def k01(v: Views) -> DataFrame:
-    """Properties that any best matching has: one to one, and no lighter than taking the heaviest edge of each bin that is also its reference's heaviest."""
-    edges = table(v).select("sample", "tool", F.col("bin").alias("left"), F.col("ref").alias("right"), F.col("bp").alias("weight"))
-    found = graph.best_matching(edges, ["sample", "tool"])
-    per = found.groupBy("tool").agg(F.sum("weight").alias("weight"), (F.count("*") == F.count_distinct("sample", "left")).alias("l"), (F.count("*") == F.count_distinct("sample", "right")).alias("r"), F.count("*").alias("pairs"))
-    heavy = edges.withColumn("a", F.row_number().over(Window.partitionBy("sample", "tool", "left").orderBy(F.desc("weight"), "right"))).withColumn("b", F.row_number().over(Window.partitionBy("sample", "tool", "right").orderBy(F.desc("weight"), "left")))
-    mutual = heavy.filter("a = 1 and b = 1").groupBy("tool").agg(F.sum("weight").alias("mutual"))
-    out = per.join(mutual, "tool")
-    return out.select("tool", F.least(F.col("pairs"), F.lit(2).cast("long")).alias("least_pairs"), (F.col("l") & F.col("r")).alias("one_to_one"), (F.col("weight") >= F.col("mutual")).alias("no_worse_than_greedy"))
-
-
-@query("d15_length_weighted_binning")
-def d15(v: Views) -> DataFrame:
-    """Correct bp of the best matching over mapped and over true bp."""
-    t = table(v)
-    edges = t.select("sample", "tool", F.col("bin").alias("left"), F.col("ref").alias("right"), F.col("bp").alias("weight"))
-    good = graph.best_matching(edges, ["sample", "tool"]).groupBy("tool").agg(F.sum("weight").alias("correct"))
-    mapped = t.groupBy("tool").agg(F.sum("bp").alias("mapped"))
-    true = v.v_truth.agg(F.sum("length").alias("true_bp")).withColumn("one", F.lit(1))
-    out = good.join(mapped, "tool").withColumn("one", F.lit(1)).join(true, "one").drop("one")
-    return out.select("tool", (F.col("correct") / F.col("mapped")).alias("precision"), (F.col("correct") / F.col("true_bp")).alias("recall"))
-
-
 TOP = BINNED + ", tp AS (SELECT sample, tool, bin, ref, bp, bin_bp, row_number() OVER (PARTITION BY sample, tool, bin ORDER BY bp DESC, ref) AS k FROM (SELECT *, sum(bp) OVER (PARTITION BY sample, tool, bin) AS bin_bp FROM tab))"
 
 
