@@ -341,9 +341,12 @@ def h02(v: Views) -> DataFrame:
     return v.v_scores.filter("f1 > 0.9").select("tool").intersect(v.v_scores.filter("bin_f1 > 0.9").select("tool"))
 
 
-@query("h03_difference_sets", "SELECT sample, tool FROM v_status WHERE status <> 'failed' EXCEPT SELECT sample, tool FROM v_scores WHERE f1 IS NOT NULL")
+@query("h03_difference_sets", "SELECT 'first' AS side, sample, tool FROM (SELECT sample, tool FROM v_status WHERE status = 'completed' EXCEPT SELECT sample, tool FROM v_scores WHERE correct >= 3) UNION ALL SELECT 'second', sample, tool FROM (SELECT sample, tool FROM v_scores WHERE correct >= 3 EXCEPT SELECT sample, tool FROM v_status WHERE status = 'completed')")
 def h03(v: Views) -> DataFrame:
-    return v.v_status.filter("status <> 'failed'").select(*RUN).exceptAll(v.v_scores.filter("f1 is not null").select(*RUN)).distinct()
+    """Runs that completed without three correct plasmids, and runs that have them without having completed."""
+    done, good = v.v_status.filter("status = 'completed'").select(*RUN), v.v_scores.filter("correct >= 3").select(*RUN)
+    side = lambda name, a, b: a.join(b, RUN, "left_anti").distinct().select(F.lit(name).alias("side"), *RUN)
+    return side("first", done, good).union(side("second", good, done))
 
 
 @query("h01_union_with_missing_columns", "SELECT sample, tool, f1 AS value, NULL AS status FROM v_scores WHERE sample < 5 UNION ALL SELECT sample, tool, NULL, status FROM v_status WHERE sample < 5")

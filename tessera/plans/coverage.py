@@ -144,7 +144,7 @@ def d04(v: Views) -> DataFrame:
     return r6(scoring.more_rates(scoring.confusion(v.retained, v.v_truth)), "f2", "f05", "mcc", "specificity")
 
 
-Q_ALL = "q AS (SELECT sample, tool, qname, tname, least(qstart, qend) AS s, greatest(qstart, qend) AS e FROM v_retained), qt AS (SELECT q.* FROM q SEMI JOIN v_truth t ON q.tname = t.sequence_id AND t.sequence_id % 5 <> 0)," + islands_text("ia", "q", "sample, tool, qname") + "," + islands_text("io", "qt", "sample, tool, qname")
+Q_ALL = "q AS (SELECT sample, tool, qname, tname, least(qstart, qend) AS s, greatest(qstart, qend) AS e FROM v_retained), qt AS (SELECT q.* FROM q SEMI JOIN v_truth t ON q.tname = t.sequence_id AND t.molecule_type = 'PLASMID')," + islands_text("ia", "q", "sample, tool, qname") + "," + islands_text("io", "qt", "sample, tool, qname")
 
 
 @query("d05_query_side_burden", """
@@ -153,7 +153,7 @@ SELECT r.sample, r.tool, CAST(sum(least(coalesce(o.bp, 0), length)) AS BIGINT) A
 FROM v_record r LEFT JOIN (SELECT sample, tool, qname, sum(e - s) AS bp FROM ia GROUP BY ALL) a ON r.sample = a.sample AND r.tool = a.tool AND r.record_id = a.qname
 LEFT JOIN (SELECT sample, tool, qname, sum(e - s) AS bp FROM io GROUP BY ALL) o ON r.sample = o.sample AND r.tool = o.tool AND r.record_id = o.qname GROUP BY ALL""", Q_ALL)
 def d05(v: Views) -> DataFrame:
-    return scoring.query_burden(v.retained, v.v_truth.filter("sequence_id % 5 <> 0"), v.v_record)
+    return scoring.query_burden(v.retained, v.v_truth.filter("molecule_type = 'PLASMID'"), v.v_record)
 
 
 @query("d06_ambiguous_query_bp", """

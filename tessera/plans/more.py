@@ -92,9 +92,13 @@ def a12(v: Views) -> DataFrame:
     return named.filter(F.col("end") - F.col("start") >= 500).groupBy(F.col("sequence").alias("sequence_id")).agg(F.count("*").alias("hits"), F.min("start").alias("first_start"))
 
 
-@query("a14_external_evidence", "SELECT sample, tool, sha256(CAST(sample AS VARCHAR) || '|' || tool) AS digest FROM v_scores")
+@query("a14_external_evidence", "SELECT CAST(sample AS VARCHAR) AS sample, tool, CAST(correct AS VARCHAR) AS correct, sha256(concat_ws('|', sample, tool, correct)) AS digest, 'published table' AS evidence_source FROM v_scores")
 def a14(v: Views) -> DataFrame:
-    return v.v_scores.select(*RUN, F.sha2(F.concat_ws("|", F.col("sample").cast("string"), "tool"), 256).alias("digest"))
+    """A third party's delimited table, archived with each row's digest and its source, and read from the archive."""
+    path, archive = scratch(v.spark), scratch(v.spark)
+    v.v_scores.select("sample", "tool", "correct").write.csv(path, header=True)
+    readers.import_evidence(v.spark, path, archive, "published table", sep=",")
+    return v.spark.read.parquet(archive).select("sample", "tool", "correct", "digest", "evidence_source")
 
 
 @query("b09_sheet_constraints", "SELECT sample AS key, rule FROM (SELECT sample, 'species' AS rule FROM v_sheet WHERE NOT species IN (0, 1, 2) UNION ALL SELECT sample, 'clonal' FROM v_sheet WHERE region > 2 AND clonal_group IS NULL)")
@@ -248,10 +252,10 @@ def e11(v: Views) -> DataFrame:
     return r6(rows.groupBy("tool", (F.col("tname") % 2 == 0).alias("in_database")).agg(F.count("*").alias("plasmids"), F.avg(F.col("covered") / F.col("length")).alias("mean")), "mean")
 
 
-@query("e12_recovery_by_feature", "SELECT tool, coalesce(gene_class, 'untyped') AS feature, count(*) AS n, round(avg(c), 6) AS mean, round(quantile_cont(c, 0.5), 6) AS median FROM (SELECT tool, tname, covered / CAST(length AS DOUBLE) AS c FROM cov JOIN (SELECT sequence_id, length, molecule_type FROM v_truth) t ON tname = sequence_id WHERE molecule_type = 'PLASMID') LEFT JOIN (SELECT DISTINCT sequence_id, gene_class FROM v_gene WHERE gene_class LIKE 'STANDARD%') g ON g.sequence_id = tname GROUP BY ALL", COVERED)
+@query("e12_recovery_by_feature", "SELECT tool, coalesce(gene_class, 'untyped') AS feature, count(*) AS n, round(avg(c), 6) AS mean, round(quantile_cont(c, 0.5), 6) AS median FROM (SELECT tool, tname, covered / CAST(length AS DOUBLE) AS c FROM cov JOIN (SELECT sequence_id, length, molecule_type FROM v_truth) t ON tname = sequence_id WHERE molecule_type = 'PLASMID') LEFT JOIN (SELECT DISTINCT sequence_id, gene_class FROM v_gene) g ON g.sequence_id = tname GROUP BY ALL", COVERED)
 def e12(v: Views) -> DataFrame:
     rows = scoring.covered(v.retained).join(v.v_truth.filter("molecule_type = 'PLASMID'").select(F.col("sequence_id").alias("tname"), "length"), "tname").select("tool", "tname", (F.col("covered") / F.col("length")).alias("c"))
-    features = v.v_gene.filter("gene_class like 'STANDARD%'").select(F.col("sequence_id").alias("tname"), F.col("gene_class").alias("feature")).distinct()
+    features = v.v_gene.select(F.col("sequence_id").alias("tname"), F.col("gene_class").alias("feature")).distinct()
     out = rows.join(features, "tname", "left").withColumn("feature", F.coalesce("feature", F.lit("untyped")))
     return r6(out.groupBy("tool", "feature").agg(F.count("*").alias("n"), F.avg("c").alias("mean"), F.percentile("c", F.lit(0.5)).alias("median")), "mean", "median")
 
@@ -280,10 +284,11 @@ def e36(v: Views) -> DataFrame:
     return r6(long.groupBy("tool").agg((F.sum(F.col("w") * F.col("m")) / F.sum("w")).alias("score")), "score")
 
 
-@query("e18_ladder_summary", "SELECT rung, tool, count(*) AS n, round(avg(f1), 6) AS mean FROM v_scores JOIN (SELECT unnest([2, 4, 6]) AS rung) ON correct <= rung WHERE f1 IS NOT NULL GROUP BY ALL")
+@query("e18_ladder_summary", "SELECT rung, tool, count(*) AS n, round(sum(CAST(round(f1 * 1000) AS BIGINT)) / (1000.0 * count(*)), 6) AS mean FROM v_scores JOIN (SELECT unnest([2, 4, 6]) AS rung) ON correct <= rung WHERE f1 IS NOT NULL GROUP BY ALL")
 def e18(v: Views) -> DataFrame:
+    """Scores are whole thousandths, so their sum doesn't depend on its order."""
     rows = v.v_scores.filter("f1 is not null").withColumn("rung", F.explode(F.array(*map(F.lit, (2, 4, 6))))).filter("correct <= rung")
-    return r6(rows.groupBy("rung", "tool").agg(F.count("*").alias("n"), F.avg("f1").alias("mean")), "mean")
+    return r6(rows.groupBy("rung", "tool").agg(F.count("*").alias("n"), (F.sum(F.round(F.col("f1") * 1000).cast("long")) / (1000.0 * F.count("*"))).alias("mean")), "mean")
 
 
 @query("e27_training_rows", "SELECT s.sample, s.tool, round(bin_f1, 6) AS bin_f1, runtime_seconds, size, CASE WHEN f1 >= 0.5 THEN 1 WHEN f1 IS NULL THEN -1 ELSE 0 END AS label FROM v_scores s JOIN v_status t ON s.sample = t.sample AND s.tool = t.tool")

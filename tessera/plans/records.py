@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators import selection
 from tessera.plans.coverage import r6
 from tessera.plans.registry import query
 from tessera.plans.views import Views
@@ -30,9 +31,9 @@ def a09(v: Views) -> DataFrame:
     return v.v_bins.groupBy((F.col("sequence_id") % 5000).alias("item")).agg(F.count_distinct("bin_id").alias("bins")).filter("bins > 1")
 
 
-@query("a10_probability_id_sets", "SELECT coalesce(p.record_id, b.sequence_id) AS record_id, CASE WHEN p.record_id IS NULL THEN 'missing' WHEN b.sequence_id IS NULL THEN 'extra' ELSE 'range' END AS problem FROM (SELECT * FROM v_prob WHERE record_id % 7 <> 0) p FULL JOIN v_bins b ON p.record_id = b.sequence_id WHERE p.record_id IS NULL OR b.sequence_id IS NULL OR NOT probability BETWEEN 0 AND 0.95")
+@query("a10_probability_id_sets", "SELECT coalesce(p.record_id, b.sequence_id) AS record_id, CASE WHEN p.record_id IS NULL THEN 'missing' WHEN b.sequence_id IS NULL THEN 'extra' ELSE 'range' END AS problem FROM v_prob p FULL JOIN v_bins b ON p.record_id = b.sequence_id WHERE p.record_id IS NULL OR b.sequence_id IS NULL OR NOT probability BETWEEN 0 AND 0.95")
 def a10(v: Views) -> DataFrame:
-    both = v.v_prob.filter("record_id % 7 <> 0").join(v.v_bins, F.col("record_id") == F.col("sequence_id"), "full")
+    both = v.v_prob.join(v.v_bins, F.col("record_id") == F.col("sequence_id"), "full")
     problem = F.when(F.col("record_id").isNull(), "missing").when(F.col("sequence_id").isNull(), "extra").when(~F.col("probability").between(0, 0.95), "range")
     return both.select(F.coalesce("record_id", "sequence_id").alias("record_id"), problem.alias("problem")).filter("problem is not null")
 
@@ -48,9 +49,9 @@ def a11(v: Views) -> DataFrame:
     return shards[0].unionByName(shards[1]).unionByName(shards[2]).groupBy("shard").agg(F.count("*").alias("n"), F.sum("o_custkey").alias("keys"))
 
 
-@query("a13_interval_checks", "SELECT g.copy_id, CASE WHEN t.sequence_id IS NULL THEN 'unknown' ELSE 'range' END AS problem FROM v_gene g LEFT JOIN (SELECT * FROM v_truth WHERE sequence_id % 9 <> 0) t ON g.sequence_id = t.sequence_id WHERE t.sequence_id IS NULL OR end_pos > length - 1000")
+@query("a13_interval_checks", "SELECT g.copy_id, CASE WHEN t.sequence_id IS NULL THEN 'unknown' ELSE 'range' END AS problem FROM v_gene g LEFT JOIN v_truth t ON g.sequence_id = t.sequence_id WHERE t.sequence_id IS NULL OR end_pos > length - 1000")
 def a13(v: Views) -> DataFrame:
-    truth = v.v_truth.filter("sequence_id % 9 <> 0").select(F.col("sequence_id").alias("known"), "length")
+    truth = v.v_truth.select(F.col("sequence_id").alias("known"), "length")
     rows = v.v_gene.join(truth, F.col("sequence_id") == F.col("known"), "left")
     return rows.select("copy_id", F.when(F.col("known").isNull(), "unknown").when(F.col("end_pos") > F.col("length") - 1000, "range").alias("problem")).filter("problem is not null")
 
@@ -209,12 +210,13 @@ def f12(v: Views) -> DataFrame:
     return v.orders.withColumn("k", F.row_number().over(w)).filter("k = 1").select("o_custkey", "o_orderkey")
 
 
-@query("f13_round_robin_order", "SELECT c_custkey, row_number() OVER (ORDER BY turn, c_nationkey) AS place FROM (SELECT c_custkey, c_nationkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS turn FROM customer) QUALIFY row_number() OVER (ORDER BY turn, c_nationkey) <= 200")
+@query("f13_round_robin_order", """
+SELECT c_custkey, row_number() OVER (ORDER BY turn, c_nationkey) AS place FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY s, a, arm, c_mktsegment, c_custkey) AS turn FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey, s, arm ORDER BY c_mktsegment, c_custkey) AS a FROM (
+SELECT *, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY arm, c_custkey) AS s FROM (SELECT c_custkey, c_nationkey, c_mktsegment, CASE WHEN c_acctbal < 5000 THEN 1 ELSE 0 END AS arm FROM customer))))""")
 def f13(v: Views) -> DataFrame:
-    """The first 200 places of a rotation over nations: turns inside a nation first, so the global order only has to be cut at the top."""
-    turn = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey"))
-    top = v.customer.select("c_custkey", "c_nationkey", turn.alias("turn")).orderBy("turn", "c_nationkey").limit(200)
-    return top.withColumn("place", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("turn", "c_nationkey")).cast("long")).select("c_custkey", "place")
+    """Every customer's place in a rotation over nations, segments as studies and balances as arms."""
+    rows = v.customer.select("c_custkey", "c_nationkey", "c_mktsegment", F.when(F.col("c_acctbal") < 5000, 1).otherwise(0).alias("arm"))
+    return selection.balanced_order(rows, "c_nationkey", "arm", "c_mktsegment", "c_custkey").select("c_custkey", "place")
 
 
 @query("f14_tie_offsets", "SELECT c_custkey, row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) - (count(*) OVER (PARTITION BY c_nationkey, c_mktsegment) + 1) / 2.0 AS shift FROM customer")

@@ -21,13 +21,13 @@ def j02(v: Views) -> DataFrame:
     return stats.bootstrap(values(v).join(v.v_sheet, "sample"), ["tool"], "study", "value")
 
 
-CLS = PAIRS + ", cl AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY study) - 1 AS i FROM (SELECT a, b, study, CAST(sum(CAST(round(d * 1000000) AS BIGINT)) AS BIGINT) AS s FROM prs JOIN v_sheet USING (sample) WHERE study < 8 GROUP BY ALL)), gg AS (SELECT a, b, count(*) AS g, abs(sum(s)) AS observed FROM cl GROUP BY ALL HAVING count(*) BETWEEN 6 AND 12)"
+CLS = PAIRS + ", cl AS (SELECT *, row_number() OVER (PARTITION BY a, b ORDER BY study) - 1 AS i FROM (SELECT a, b, study, CAST(sum(CAST(round(d * 1000000) AS BIGINT)) AS BIGINT) AS s FROM prs JOIN v_sheet USING (sample) GROUP BY ALL)), gg AS (SELECT a, b, count(*) AS g, abs(sum(s)) AS observed FROM cl GROUP BY ALL HAVING count(*) BETWEEN 6 AND 13)"
 
 
 @query("j03_exact_sign_flip", """
-SELECT a, b, clusters, round(avg(CASE WHEN abs(t) >= observed THEN 1.0 ELSE 0.0 END), 6) AS p FROM (SELECT cl.a, cl.b, m.mask, any_value(gg.g) AS clusters, any_value(observed) AS observed, sum(CASE WHEN (m.mask >> i) & 1 = 1 THEN -s ELSE s END) AS t FROM cl JOIN gg ON cl.a = gg.a AND cl.b = gg.b JOIN (SELECT unnest(range(0, 4096)) AS mask) m ON m.mask < (1 << gg.g) GROUP BY ALL) GROUP BY ALL""", CLS)
+SELECT a, b, clusters, round(avg(CASE WHEN abs(t) >= observed THEN 1.0 ELSE 0.0 END), 6) AS p FROM (SELECT cl.a, cl.b, m.mask, any_value(gg.g) AS clusters, any_value(observed) AS observed, sum(CASE WHEN (m.mask >> i) & 1 = 1 THEN -s ELSE s END) AS t FROM cl JOIN gg ON cl.a = gg.a AND cl.b = gg.b JOIN (SELECT unnest(range(0, 8192)) AS mask) m ON m.mask < (1 << gg.g) GROUP BY ALL) GROUP BY ALL""", CLS)
 def j03(v: Views) -> DataFrame:
-    return r6(stats.exact_sign_flip(differences(v).filter("study < 8"), ["a", "b"], "study", "difference"), "p")
+    return r6(stats.exact_sign_flip(differences(v), ["a", "b"], "study", "difference", most=13), "p")
 
 
 @query("j04_sampled_sign_flip")
@@ -50,13 +50,13 @@ def j07(v: Views) -> DataFrame:
     return r6(per.groupBy("tool").agg(share.alias("dominant"), F.when(share > 0.30, "percentile").otherwise("cluster_t").alias("method")), "dominant")
 
 
-HOLM = PAIRS + ", pv AS (SELECT a, b, a || b AS k, CAST(abs(sum(CAST(round(d * 1000) AS BIGINT))) % 100 AS DOUBLE) / 500 AS p FROM prs GROUP BY ALL)"
+HOLM = CLS + ", pv AS (SELECT a, b, a || b AS k, avg(CASE WHEN abs(t) >= observed THEN 1.0 ELSE 0.0 END) AS p FROM (SELECT cl.a, cl.b, m.mask, any_value(observed) AS observed, sum(CASE WHEN (m.mask >> i) & 1 = 1 THEN -s ELSE s END) AS t FROM cl JOIN gg ON cl.a = gg.a AND cl.b = gg.b JOIN (SELECT unnest(range(0, 8192)) AS mask) m ON m.mask < (1 << gg.g) GROUP BY ALL) GROUP BY ALL)"
 
 
 @query("j08_holm_adjustment", "SELECT a, b, round(p, 6) AS p, round(max(raw) OVER (PARTITION BY a ORDER BY p, k ROWS UNBOUNDED PRECEDING), 6) AS adjusted FROM (SELECT *, least(1.0, p * (count(*) OVER (PARTITION BY a) - row_number() OVER (PARTITION BY a ORDER BY p, k) + 1)) AS raw FROM pv)", HOLM)
 def j08(v: Views) -> DataFrame:
-    p = F.abs(F.sum(F.round(F.col("difference") * 1000).cast("long"))) % 100 / 500.0
-    rows = ranking.pairs(values(v)).groupBy("a", "b").agg(p.cast("double").alias("p")).withColumn("k", F.concat("a", "b"))
+    """Each tool's comparisons are a family; p-values are those of the exact sign flips."""
+    rows = stats.exact_sign_flip(differences(v), ["a", "b"], "study", "difference", most=13).select("a", "b", "p").withColumn("k", F.concat("a", "b"))
     return r6(stats.holm(rows, ["a"], "p", "k").drop("k"), "p", "adjusted")
 
 
@@ -71,13 +71,15 @@ def j09_p(v: Views) -> DataFrame:
     return stats.wilcoxon(ranking.pairs(values(v)), ["a", "b"], "difference")
 
 
-@query("j10_effect_status", "SELECT a, b, CASE WHEN n < 6 THEN 'too few' WHEN low > 0.05 THEN 'better' WHEN high < -0.05 THEN 'worse' WHEN low > -0.05 AND high < 0.05 THEN 'equivalent' ELSE 'unclear' END AS effect FROM (SELECT a, b, count(*) AS n, avg(d) - 1.96 * stddev_samp(d) / sqrt(count(*)) AS low, avg(d) + 1.96 * stddev_samp(d) / sqrt(count(*)) AS high FROM prs GROUP BY ALL)", PAIRS)
+@query("j10_effect_status", f"""
+SELECT a, b, CASE WHEN g < 6 THEN 'too few' WHEN mean - t * se > 0.05 THEN 'better' WHEN mean + t * se < -0.05 THEN 'worse' WHEN mean - t * se > -0.05 AND mean + t * se < 0.05 THEN 'equivalent' ELSE 'unclear' END AS effect, mean - t * se > 0 OR mean + t * se < 0 AS significant
+FROM (SELECT a, b, mean, g, sqrt(g / CAST(g - 1 AS DOUBLE) * r2) / n AS se, [{", ".join(f"{stats.t_quantile(0.975, d):.9f}" for d in range(1, 25))}][g - 1] AS t FROM (SELECT a, b, any_value(mean) AS mean, sum(k) AS n, count(*) AS g, sum((s - k * mean) * (s - k * mean)) AS r2
+FROM (SELECT *, sum(s) OVER (PARTITION BY a, b) / sum(k) OVER (PARTITION BY a, b) AS mean FROM (SELECT a, b, study, sum(d) AS s, count(*) AS k FROM prs JOIN v_sheet USING (sample) GROUP BY ALL)) GROUP BY a, b) WHERE g > 1)""", PAIRS)
 def j10(v: Views) -> DataFrame:
-    d = F.col("difference")
-    half = 1.96 * F.stddev_samp(d) / F.sqrt(F.count("*"))
-    rows = ranking.pairs(values(v)).groupBy("a", "b").agg(F.count("*").alias("n"), (F.avg(d) - half).alias("low"), (F.avg(d) + half).alias("high"))
-    effect = F.when(F.col("n") < 6, "too few").when(F.col("low") > 0.05, "better").when(F.col("high") < -0.05, "worse").when((F.col("low") > -0.05) & (F.col("high") < 0.05), "equivalent").otherwise("unclear")
-    return rows.select("a", "b", effect.alias("effect"))
+    """What a clustered interval of the mean difference says of an effect of 0.05."""
+    rows = stats.cluster_t(differences(v), ["a", "b"], "study", "difference")
+    effect = F.when(F.col("clusters") < 6, "too few").when(F.col("low") > 0.05, "better").when(F.col("high") < -0.05, "worse").when((F.col("low") > -0.05) & (F.col("high") < 0.05), "equivalent").otherwise("unclear")
+    return rows.select("a", "b", effect.alias("effect"), ((F.col("low") > 0) | (F.col("high") < 0)).alias("significant"))
 
 
 @query("j11_minimum_detectable_difference", "SELECT a, b, count(*) AS clusters, round(2.8016 * stddev_samp(m) / sqrt(count(*)), 6) AS detectable, CAST(ceil(round(pow(2.8016 * stddev_samp(m) / 0.05, 2), 9)) AS BIGINT) AS clusters_needed FROM (SELECT a, b, study, avg(d) AS m FROM prs JOIN v_sheet USING (sample) GROUP BY ALL) GROUP BY ALL HAVING count(*) > 2", PAIRS)

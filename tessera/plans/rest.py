@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import graph, ranking, stats
+from tessera.operators import bins, ranking, selection, stats
 from tessera.operators.intervals import union_bp
 from tessera.plans.agreement import BINNED, table
 from tessera.plans.boards import VALS, values
@@ -36,10 +36,10 @@ def b25(v: Views) -> DataFrame:
     return v.v_class.groupBy("community_id").agg(F.count_if(F.col("predicted_class").isNull()).alias("missing"), (F.count("*") - F.count_distinct("contig_id")).alias("duplicates"), (F.count_distinct("truth_class") > 2).alias("several"))
 
 
-@query("b30_database_provenance", "SELECT coalesce(a.tool, b.tool) AS tool, CASE WHEN a.tool IS NULL OR b.tool IS NULL THEN 'unrecorded' WHEN blanks = 0 THEN 'recorded' ELSE 'partly' END AS status FROM (SELECT tool, count(*) - count(f1) AS blanks FROM v_scores WHERE tool <> 'AF' GROUP BY tool) a FULL JOIN (SELECT DISTINCT tool FROM v_status WHERE tool <> 'RF') b ON a.tool = b.tool")
+@query("b30_database_provenance", "SELECT coalesce(a.tool, b.tool) AS tool, CASE WHEN a.tool IS NULL OR b.tool IS NULL THEN 'unrecorded' WHEN blanks = 0 THEN 'recorded' ELSE 'partly' END AS status FROM (SELECT tool, count(*) - count(f1) AS blanks FROM v_scores GROUP BY tool) a FULL JOIN (SELECT DISTINCT tool FROM v_status) b ON a.tool = b.tool")
 def b30(v: Views) -> DataFrame:
-    own = v.v_scores.filter("tool <> 'AF'").groupBy("tool").agg((F.count("*") - F.count("f1")).alias("blanks")).withColumn("a", F.lit(1))
-    both = own.join(v.v_status.filter("tool <> 'RF'").select("tool").distinct().withColumn("b", F.lit(1)), "tool", "full")
+    own = v.v_scores.groupBy("tool").agg((F.count("*") - F.count("f1")).alias("blanks")).withColumn("a", F.lit(1))
+    both = own.join(v.v_status.select("tool").distinct().withColumn("b", F.lit(1)), "tool", "full")
     return both.select("tool", F.when(F.col("a").isNull() | F.col("b").isNull(), "unrecorded").when(F.col("blanks") == 0, "recorded").otherwise("partly").alias("status"))
 
 
@@ -61,10 +61,23 @@ def c19(v: Views) -> DataFrame:
     return v.customer.select("c_custkey", F.when(published == own, "exact").when(bare(published) == bare(own), "version").otherwise("none").alias("kind"))
 
 
-@query("d25_error_composition", "SELECT called, round(avg(CASE WHEN label = 'PLASMID' THEN 1.0 ELSE 0.0 END), 6) AS plasmid_share, round(sum(pow(length, 0.5)) / sum(sum(pow(length, 0.5))) OVER (), 6) AS weight FROM v_contig GROUP BY called")
+@query("d25_error_composition", """
+SELECT bin_id, alpha, count(*) AS n, round(avg((extra + missing + split + joined) / total), 6) AS dissimilarity, round(avg(split / total), 6) AS split, round(avg(joined / total), 6) AS joined, round(avg(extra / total), 6) AS extra, round(avg(missing / total), 6) AS missing, CAST(rank() OVER (PARTITION BY alpha ORDER BY round(avg((extra + missing + split + joined) / total), 9)) AS INT) AS place
+FROM (SELECT bin_id, alpha, sample, sum(w) AS total, sum(CASE WHEN bin IS NOT NULL AND ref IS NULL THEN w ELSE 0 END) AS extra, sum(CASE WHEN bin IS NULL AND ref IS NOT NULL THEN w ELSE 0 END) AS missing FROM mb GROUP BY ALL)
+JOIN (SELECT bin_id, alpha, sample, coalesce(sum(c), 0) AS split FROM (SELECT DISTINCT bin_id, alpha, sample FROM mb) LEFT JOIN (SELECT bin_id, alpha, sample, ref, sum(w) - max(w) AS c FROM (SELECT bin_id, alpha, sample, ref, bin, sum(w) AS w FROM mb WHERE bin IS NOT NULL AND ref IS NOT NULL GROUP BY ALL) GROUP BY ALL) USING (bin_id, alpha, sample) GROUP BY ALL) USING (bin_id, alpha, sample)
+JOIN (SELECT bin_id, alpha, sample, coalesce(sum(c), 0) AS joined FROM (SELECT DISTINCT bin_id, alpha, sample FROM mb) LEFT JOIN (SELECT bin_id, alpha, sample, bin, sum(w) - max(w) AS c FROM (SELECT bin_id, alpha, sample, ref, bin, sum(w) AS w FROM mb WHERE bin IS NOT NULL AND ref IS NOT NULL GROUP BY ALL) GROUP BY ALL) USING (bin_id, alpha, sample) GROUP BY ALL) USING (bin_id, alpha, sample) GROUP BY bin_id, alpha""",
+    "mb AS (SELECT bin_id % 4 AS bin_id, alpha, sample, CASE WHEN called THEN bin_id END AS bin, CASE WHEN label = 'PLASMID' THEN best_plasmid END AS ref, pow(length, alpha) AS w FROM v_contig, (SELECT unnest([0.0, 0.5, 1.0]) AS alpha))")
 def d25(v: Views) -> DataFrame:
-    per = v.v_contig.groupBy("called").agg(F.avg((F.col("label") == "PLASMID").cast("double")).alias("plasmid_share"), F.sum(F.pow(F.col("length").cast("double"), 0.5)).alias("w"))
-    return r6(per.select("called", "plasmid_share", (F.col("w") / F.sum("w").over(Window.partitionBy(F.lit(1)))).alias("weight")), "plasmid_share", "weight")
+    """Mean share of each part of the dissimilarity over samples, per family of bins, and the families' order at each alpha."""
+    family = (F.col("bin_id") % 4).alias("family")
+    members = v.v_contig.select(family, "sample", F.when(F.col("called"), F.col("bin_id")).alias("bin"), F.when(F.col("label") == "PLASMID", F.col("best_plasmid")).alias("ref"), "length")
+    out = None
+    for alpha in (0.0, 0.5, 1.0):
+        per = bins.dissimilarity(members, ["family", "sample"], alpha)
+        one = per.groupBy(F.col("family").alias("bin_id"), F.lit(alpha).alias("alpha")).agg(F.count("*").alias("n"), F.avg("dissimilarity").alias("dissimilarity"), *(F.avg(F.col(c) / F.col("total")).alias(c) for c in ("split", "joined", "extra", "missing")))
+        out = one if out is None else out.union(one)
+    out = out.withColumn("place", F.rank().over(Window.partitionBy("alpha").orderBy(F.round("dissimilarity", 9))))
+    return r6(out, "dissimilarity", "split", "joined", "extra", "missing")
 
 
 EVENTS = "ev AS (SELECT DISTINCT tool, tname FROM (SELECT tool, tname, strand <> lead(strand) OVER (PARTITION BY tool, qname ORDER BY qstart, qend, tname, s, e, strand, mapq) AS turned FROM v_retained) WHERE turned)"
@@ -259,20 +272,9 @@ def q02(v: Views) -> DataFrame:
 
 @query("f15_dual_cap_shortlist")
 def f15(v: Views) -> DataFrame:
-    """Rows kept in order while both their customer's and their clerk's counts are under caps; rows that share neither, however indirectly, are decided apart."""
-    rows = v.orders.filter("o_orderpriority like '1%'").select("o_orderkey", F.col("o_custkey").alias("p"), (F.col("o_orderkey") % 97 + 10_000_000).alias("q"))
-    parts = graph.connected_components(rows.select(F.col("p").alias("a"), F.col("q").alias("b"))).withColumnRenamed("node", "p")
-
-    def take(pdf: pd.DataFrame) -> pd.DataFrame:
-        used: dict[int, int] = {}
-        kept = []
-        for r in pdf.sort_values(["p", "q", "o_orderkey"]).itertuples():
-            if used.get(r.p, 0) < 2 and used.get(r.q, 0) < 5:
-                used[r.p], used[r.q] = used.get(r.p, 0) + 1, used.get(r.q, 0) + 1
-                kept.append((r.o_orderkey, r.p, r.q))
-        return pd.DataFrame(kept, columns=["o_orderkey", "p", "q"])
-
-    return rows.join(parts, "p").groupBy("component").applyInPandas(take, "o_orderkey long, p long, q long")
+    """Orders by customer, day and number, kept while their customer has fewer than 5 kept ones and their day fewer than 4."""
+    rows = v.orders.select("o_orderkey", F.col("o_custkey").alias("p"), F.to_date("o_orderdate").alias("q"))
+    return selection.dual_cap(rows, "p", "q", ["p", "q", "o_orderkey"], 5, 4)
 
 
 @query("q05_grouped_function_points")

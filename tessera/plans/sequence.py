@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,14 +72,19 @@ def i07(v: Views) -> DataFrame:
 
 
 @query("l04_tandem_multimer", """
-SELECT id, max(k) AS copies FROM (SELECT id, k, list_min([list_sum([CASE WHEN substr(sequence, j, 1) = substr(sequence, CAST(p * part + j AS BIGINT), 1) THEN 1 ELSE 0 END FOR j IN range(1, part + 1)]) / CAST(part AS DOUBLE) FOR p IN range(1, k)]) AS ident
-FROM (SELECT id, sequence, k, CAST(floor(length(sequence) / k) AS BIGINT) AS part FROM (SELECT id, substr(sequence, 1, 240) AS sequence FROM v_seq), (SELECT unnest(range(2, 7)) AS k) WHERE length(sequence) >= 60)) WHERE ident >= 0.35 GROUP BY id""")
+SELECT id, coalesce(max(CASE WHEN ident >= 0.95 THEN k END), 1) AS copies FROM (SELECT id, k, list_min([list_sum([CASE WHEN chars[j] = chars[CAST(p * part + j AS BIGINT)] THEN 1 ELSE 0 END FOR j IN range(1, part + 1)]) / CAST(part AS DOUBLE) FOR p IN range(1, k)]) AS ident
+FROM (SELECT id, chars, k, CASE WHEN len(chars) // k >= 100 THEN len(chars) // k END AS part FROM (SELECT id, string_split(sequence, '') AS chars FROM v_seq), (SELECT unnest(range(2, 7)) AS k))) GROUP BY id""")
 def l04(v: Views) -> DataFrame:
-    rows = v.v_seq.select("id", F.substring("sequence", 1, 240).alias("sequence")).filter(F.length("sequence") >= 60).withColumn("k", F.explode(F.sequence(F.lit(2).cast("long"), F.lit(6).cast("long"))))
-    rows = rows.withColumn("part", F.floor(F.length("sequence") / F.col("k"))).withColumn("chars", F.split("sequence", ""))
-    same = lambda p: F.aggregate(F.zip_with(F.slice("chars", F.lit(1), F.col("part").cast("int")), F.slice("chars", (p * F.col("part") + 1).cast("int"), F.col("part").cast("int")), lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x) / F.col("part")
-    ident = F.array_min(F.transform(F.sequence(F.lit(1).cast("long"), F.col("k") - 1), same))
-    return rows.filter(ident >= 0.35).groupBy("id").agg(F.max("k").alias("copies"))
+    """The most equal parts, each of 100 bases or more, that are all at least 95 % like the first; 1 if there are none. Whole sequences are compared, base by base."""
+    rows = v.v_seq.select("id", F.filter(F.split("sequence", ""), lambda c: c != "").alias("chars"))
+    part = lambda k: F.floor(F.size("chars") / k).cast("int")
+
+    def alike(k: int) -> Column:
+        same = lambda p: F.aggregate(F.zip_with(F.slice("chars", F.lit(1), part(k)), F.slice("chars", p * part(k) + 1, part(k)), lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x)
+        return (part(k) >= 100) & functools.reduce(operator.and_, (same(p) >= 0.95 * part(k) for p in range(1, k)))
+
+    copies = F.greatest(*(F.when(alike(k), k).otherwise(1) for k in range(2, 7)))
+    return rows.select("id", copies.cast("long").alias("copies"))
 
 
 @query("f06_n50_l50", """

@@ -77,4 +77,14 @@ def write_boards(df: DataFrame, path: str, by: list[str]) -> None:
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
+def import_evidence(spark: SparkSession, path: str, archive: str, source: str, sep: str = "\t") -> None:
+    """Append a headed delimited file's rows, as text, to an archive of Parquet files: each with the SHA-256 of its values, its source and its file.
+
+    Evidence stays apart: nothing in the library reads an archive into scores.
+    """
+    rows = spark.read.csv(path, sep=sep, header=True)
+    values = F.concat_ws("|", *(F.col(f"`{c}`") for c in rows.columns))
+    rows.select("*", F.sha2(values, 256).alias("digest"), F.lit(source).alias("evidence_source"), F.col("_metadata.file_path").alias("evidence_file")).write.mode("append").parquet(archive)
+
+
 TRUTH = T.StructType([T.StructField("sequence_id", T.StringType()), T.StructField("molecule_type", T.StringType()), T.StructField("length", T.LongType())])
