@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators import graph
+from tessera.operators.intervals import overlap_join, union_bp
 
 
 def bin_totals(overlaps: DataFrame, chromosome: DataFrame, bins: DataFrame, keys: list[str]) -> DataFrame:
@@ -154,3 +155,31 @@ def rearranged(chosen: DataFrame, joins: DataFrame, keys: list[str]) -> DataFram
     """By run: how many of the chosen plasmids (keys, ref) a discordance touches nevertheless, of how many."""
     hit = touched(joins, keys).withColumn("hit", F.lit(1))
     return chosen.join(hit, [*keys, "ref"], "left").groupBy(*keys).agg(F.count("hit").alias("touched"), F.count("*").alias("of"))
+
+
+def gene_placement(blocks: DataFrame, genes: DataFrame, membership: DataFrame, homes: DataFrame, keys: list[str], sample: str = "sample", least: float = 0.9) -> DataFrame:
+    """One row a gene copy and run: whether it is recovered, on which record and bin, and on the right plasmid.
+
+    blocks: keys, qname, ref, s, e; genes: sample, ref, copy_id, start_pos, end_pos; membership: qname, bin; homes: keys, bin, home (the
+    plasmid that a bin is matched to). A copy is recovered if all records together cover the least share of it. It is
+    placed by the record that covers most of it (the smallest name of equals), if that one alone covers as much and has a bin.
+    """
+    runs = blocks.select(*keys).distinct()
+    held = overlap_join(blocks.withColumnsRenamed({"s": "ls", "e": "le"}), genes.select(sample, "ref", "copy_id", F.col("start_pos").alias("rs"), F.col("end_pos").alias("re")), [sample, "ref"])
+    held = held.select(*keys, "copy_id", "qname", F.greatest("ls", "rs").alias("s"), F.least("le", "re").alias("e"))
+    of_record = union_bp(held, [*keys, "copy_id", "qname"]).groupBy(*keys, "copy_id").agg(F.min_by(F.struct("qname", "bp"), F.struct(-F.col("bp"), "qname")).alias("best"))
+    of_all = union_bp(held, [*keys, "copy_id"], name="all_bp")
+    rows = genes.join(runs, sample).join(of_all, [*keys, "copy_id"], "left").join(of_record, [*keys, "copy_id"], "left").withColumn("qname", F.col("best.qname")).join(membership, "qname", "left").join(homes, [*keys, "bin"], "left")
+    length = F.greatest(F.col("end_pos") - F.col("start_pos"), F.lit(1))
+    recovered = F.coalesce(F.col("all_bp") >= least * length, F.lit(False))
+    whole = F.col("best.bp") >= least * length
+    placement = F.when(~recovered, "not_recovered").when(~whole | F.col("bin").isNull(), "unassigned_contig").when(F.col("home") == F.col("ref"), "correct_plasmid").otherwise("wrong_plasmid")
+    rows = rows.withColumn("placement", placement).withColumn("bin", F.when(recovered & whole, F.col("bin")))
+    return rows.select(*keys, "copy_id", "ref", "gene_class", F.when(recovered, F.col("qname")).alias("record"), "bin", "placement")
+
+
+def class_rates(placed: DataFrame, by: str = "tool") -> DataFrame:
+    """Placements by tool and gene class, and over all classes: counts, and the share of copies on the right plasmid."""
+    count = lambda k: F.count_if(F.col("placement") == k).alias(k)
+    out = placed.withColumn("class", F.explode(F.array("gene_class", F.lit("all")))).groupBy(by, "class").agg(F.count("*").alias("copies"), F.count_if(F.col("placement") != "not_recovered").alias("recovered"), count("correct_plasmid"), count("wrong_plasmid"), count("unassigned_contig"))
+    return out.withColumn("correct_rate", F.col("correct_plasmid") / F.col("copies"))

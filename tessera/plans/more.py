@@ -369,3 +369,18 @@ def f05(v: Views) -> DataFrame:
     from tessera.plans.coverage import curve
 
     return curves.states(curve(v), v.v_prob.select(F.col("probability").alias("t")).distinct(), ["tool"]).groupBy("t").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+
+
+@query("f05_macro_curve", """
+SELECT t, count(p) AS with_precision, round(avg(p), 6) AS precision, count(r) AS with_recall, round(avg(r), 6) AS recall FROM (SELECT a.tool, g.t, CASE WHEN coalesce(max(tp), 0) + coalesce(max(fp), 0) > 0 THEN coalesce(max(tp), 0) / CAST(coalesce(max(tp), 0) + coalesce(max(fp), 0) AS DOUBLE) END AS p, CASE WHEN any_value(total) > 0 THEN coalesce(max(tp), 0) / CAST(any_value(total) AS DOUBLE) END AS r
+FROM (SELECT tool, max(tp) AS total FROM crv GROUP BY tool) a CROSS JOIN (SELECT DISTINCT probability AS t FROM v_prob) g LEFT JOIN crv c ON c.tool = a.tool AND c.probability >= g.t GROUP BY a.tool, g.t) GROUP BY t""", SWEEP)
+def f05_macro(v: Views) -> DataFrame:
+    """Mean precision and recall over tools at each threshold, each over the tools that have it; recall is of what the lowest threshold finds."""
+    from tessera.operators import curves
+    from tessera.plans.coverage import curve
+
+    own = curve(v)
+    rows = curves.states(own, v.v_prob.select(F.col("probability").alias("t")).distinct(), ["tool"]).join(own.groupBy("tool").agg(F.max("tp").alias("total")), "tool")
+    p, r = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))), F.when(F.col("total") > 0, F.col("tp") / F.col("total"))
+    out = rows.groupBy("t").agg(F.count(p).alias("with_precision"), F.avg(p).alias("precision"), F.count(r).alias("with_recall"), F.avg(r).alias("recall"))
+    return r6(out, "precision", "recall")

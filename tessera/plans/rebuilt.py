@@ -10,7 +10,7 @@ from tessera.operators.intervals import union_bp
 from tessera.plans.agreement import BINNED
 from tessera.plans.coverage import r6
 from tessera.plans.registry import query
-from tessera.plans.views import Views
+from tessera.plans.views import Views, islands_text
 
 RUN = ["sample", "tool"]
 #: Parts of a plasmid that one bin covers in the test tables are small, and so are these limits; the functions' defaults are the usual ones.
@@ -141,3 +141,32 @@ def d46(v: Views) -> DataFrame:
     """Plasmids that one bin holds, and how many of them a discordance touches all the same."""
     whole = outcomes(v).filter("outcome in ('perfect', 'merged')").select(*RUN, "ref")
     return rec.rearranged(whole, rec.block_joins(v.retained, RUN), RUN)
+
+
+PLACED = PARTS + matching_text("mt", "SELECT * FROM ov") + """,
+gp AS (SELECT a.sample, a.tool, g.copy_id, a.qname, greatest(a.s, g.start_pos) AS s, least(a.e, g.end_pos) AS e FROM v_retained a JOIN v_gene g ON a.sample = g.sample AND a.tname = g.sequence_id AND a.s < g.end_pos AND g.start_pos < a.e),""" + islands_text("gr", "gp", "sample, tool, copy_id, qname") + "," + islands_text("ga", "gp", "sample, tool, copy_id") + """,
+pl AS (SELECT x.sample, x.tool, g.copy_id, g.sequence_id AS ref, g.gene_class, CASE WHEN a.bp >= 0.25 * len THEN r.qname END AS record, CASE WHEN a.bp >= 0.25 * len AND r.bp >= 0.25 * len THEN b.bin_id END AS bin,
+CASE WHEN a.bp IS NULL OR a.bp < 0.25 * len THEN 'not_recovered' WHEN r.bp < 0.25 * len OR b.bin_id IS NULL THEN 'unassigned_contig' WHEN m.ref = g.sequence_id THEN 'correct_plasmid' ELSE 'wrong_plasmid' END AS placement
+FROM (SELECT *, greatest(end_pos - start_pos, 1) AS len FROM v_gene) g JOIN (SELECT DISTINCT sample, tool FROM v_retained) x ON x.sample = g.sample LEFT JOIN (SELECT sample, tool, copy_id, sum(e - s) AS bp FROM ga GROUP BY ALL) a ON a.sample = x.sample AND a.tool = x.tool AND a.copy_id = g.copy_id
+LEFT JOIN (SELECT sample, tool, copy_id, qname, bp, row_number() OVER (PARTITION BY sample, tool, copy_id ORDER BY bp DESC, qname) AS k FROM (SELECT sample, tool, copy_id, qname, sum(e - s) AS bp FROM gr GROUP BY ALL)) r ON r.k = 1 AND r.sample = x.sample AND r.tool = x.tool AND r.copy_id = g.copy_id
+LEFT JOIN v_bins b ON b.sequence_id = r.qname LEFT JOIN mt m ON m.sample = x.sample AND m.tool = x.tool AND m.bin = b.bin_id)"""
+
+
+def placed(v: Views) -> DataFrame:
+    p = Parts(v)
+    homes = rec.matched(p.overlaps, RUN, WEIGHT).select(*RUN, "bin", F.col("ref").alias("home"))
+    genes = v.v_gene.withColumnRenamed("sequence_id", "ref")
+    members = v.v_bins.select(F.col("sequence_id").alias("qname"), F.col("bin_id").alias("bin"))
+    return rec.gene_placement(v.retained.select(*RUN, "qname", F.col("tname").alias("ref"), "s", "e"), genes, members, homes, RUN, least=0.25)
+
+
+@query("d34_placement_of_each_copy", "SELECT sample, tool, copy_id, ref, gene_class, record, bin, placement FROM pl", PLACED)
+def d34(v: Views) -> DataFrame:
+    return placed(v)
+
+
+@query("d35_placement_rates_by_class", """
+SELECT tool, class, count(*) AS copies, count(*) FILTER (placement <> 'not_recovered') AS recovered, count(*) FILTER (placement = 'correct_plasmid') AS correct_plasmid, count(*) FILTER (placement = 'wrong_plasmid') AS wrong_plasmid, count(*) FILTER (placement = 'unassigned_contig') AS unassigned_contig, round(count(*) FILTER (placement = 'correct_plasmid') / count(*), 6) AS correct_rate
+FROM (SELECT *, unnest([gene_class, 'all']) AS class FROM pl) GROUP BY tool, class""", PLACED)
+def d35(v: Views) -> DataFrame:
+    return r6(rec.class_rates(placed(v)), "correct_rate")

@@ -308,3 +308,10 @@ def q03(v: Views) -> DataFrame:
     want = v.v_scores.select("tool").distinct().select("tool", F.explode(F.array(*map(F.lit, ("f1", "bin_f1", "speed")))).alias("metric"))
     have = v.v_scores.unpivot(RUN, ["f1", "bin_f1"], "metric", "value").filter("value is not null").select("tool", "metric").distinct()
     return want.join(have, ["tool", "metric"], "left_anti")
+
+
+@query("p02_stalled_runs", "SELECT user_id, event_id, event_type, round(epoch(now - ts), 6) AS age, epoch(now - ts) > 90 AND event_type <> 'signup' AS stalled FROM (SELECT user_id, max(ts) AS ts, max_by(event_id, (ts, event_id)) AS event_id, max_by(event_type, (ts, event_id)) AS event_type FROM events GROUP BY user_id), (SELECT max(ts) AS now FROM events)")
+def p02_stalled(v: Views) -> DataFrame:
+    """As seen when the log's last event came: runs silent for over 90 seconds whose last event doesn't end them."""
+    now = v.events.agg(F.max(F.col("ts").cast("timestamp")).alias("now")).first()["now"]
+    return r6(runs.stalled(v.events, F.lit(now), 90, ("signup",)).select("user_id", "event_id", "event_type", "age", "stalled"), "age")

@@ -11,6 +11,14 @@ def latest_state(events: DataFrame) -> DataFrame:
     return events.groupBy("user_id").agg(F.max(F.struct("ts", "event_id", "event_type")).alias("last"), F.count("*").alias("events")).select("user_id", "last.ts", "last.event_id", "last.event_type", "events")
 
 
+def stalled(events: DataFrame, now, seconds: int = 90, ended: tuple[str, ...] = ()) -> DataFrame:
+    """The newest event of each user, its age at now (a timestamp column or literal), and whether the run has stalled: older than seconds and not ended."""
+    last = latest_state(events)
+    age = F.greatest(F.unix_micros(now) - F.unix_micros(F.col("ts").cast("timestamp")), F.lit(0)) / 1e6
+    over = F.col("event_type").isin(*ended) if ended else F.lit(False)
+    return last.withColumn("age", age).withColumn("stalled", (F.col("age") > seconds) & ~over)
+
+
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "1 hour") -> DataFrame:
     """Runs of events less than gap apart, per user; with a watermark, closed sessions come out in append mode."""
     marked = events.withWatermark("ts", late) if events.isStreaming else events
