@@ -31,6 +31,27 @@ def bootstrap(df: DataFrame, keys: list[str], cluster: str, value: str, draws: i
     return means.groupBy(*keys).agg(order.alias("m")).select(*keys, F.get("m", F.lit(int(0.025 * draws))).alias("low"), F.get("m", F.lit(int(0.975 * draws) - 1)).alias("high"))
 
 
+def bootstrap_gap(df: DataFrame, keys: list[str], cluster: str, value: str, known: str, draws: int = 1000, seed: int = 6, least: int = 5) -> DataFrame:
+    """Mean of value where known is true less the mean where it is false, with a percentile interval over resampled clusters.
+
+    status: too few studies (no interval under least clusters, or under 3 that hold the false kind), gap supported, or no clear gap.
+    """
+    part = lambda ok, name: (F.sum(F.when(ok, F.col(value))).alias(f"s_{name}"), F.count(F.when(ok, F.col(value))).alias(f"n_{name}"))
+    yes, no = F.col(known), ~F.col(known)
+    sums = df.filter(F.col(value).isNotNull() & yes.isNotNull()).groupBy(*keys, cluster).agg(*part(yes, "a"), *part(no, "b")).fillna(0.0, ["s_a", "s_b"])
+    w = Window.partitionBy(*keys)
+    sums = sums.withColumn("i", (F.row_number().over(w.orderBy(cluster)) - 1).cast("long")).withColumn("g", F.count("*").over(w)).withColumn("held", F.count_if(F.col("n_b") > 0).over(w))
+    mean = lambda name: F.try_divide(F.sum(f"s_{name}"), F.sum(f"n_{name}"))
+    seen = sums.groupBy(*keys).agg((mean("a") - mean("b")).alias("gap"), F.max("g").alias("clusters"), F.max("held").alias("held"))
+    slots = sums.select(*keys, "i", "g").withColumn("draw", F.explode(F.sequence(F.lit(1), F.lit(draws)))).withColumn("pick", hash_index(seed, F.col("draw"), F.col("i"), F.col("g")))
+    drawn = slots.select(*keys, "draw", F.col("pick").alias("i")).join(sums.drop("g", "held"), [*keys, "i"]).groupBy(*keys, "draw").agg((mean("a") - mean("b")).alias("d"))
+    limits = drawn.filter("d is not null").groupBy(*keys).agg(F.percentile("d", F.lit(0.025)).alias("low"), F.percentile("d", F.lit(0.975)).alias("high"), F.count("*").alias("used"))
+    out = seen.join(limits, keys, "left")
+    enough = (F.col("clusters") >= least) & (F.col("held") >= 3) & (F.col("used") >= draws // 2)
+    status = F.when(~F.coalesce(enough, F.lit(False)), "too few studies").when((F.col("low") > 0) | (F.col("high") < 0), "gap supported").otherwise("no clear gap")
+    return out.select(*keys, "gap", F.when(enough, F.col("low")).alias("low"), F.when(enough, F.col("high")).alias("high"), "clusters", status.alias("status"))
+
+
 def exact_sign_flip(df: DataFrame, keys: list[str], cluster: str, value: str, scale: int = 1_000_000, least: int = 6, most: int = 12) -> DataFrame:
     """Share of all sign patterns over clusters whose sum is at least as far from zero as the observed one; sums are scaled to whole numbers, so ties are exact."""
     whole = df.withColumn("_v", F.round(F.col(value) * scale).cast("long"))

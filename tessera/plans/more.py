@@ -384,3 +384,13 @@ def f05_macro(v: Views) -> DataFrame:
     p, r = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))), F.when(F.col("total") > 0, F.col("tp") / F.col("total"))
     out = rows.groupBy("t").agg(F.count(p).alias("with_precision"), F.avg(p).alias("precision"), F.count(r).alias("with_recall"), F.avg(r).alias("recall"))
     return r6(out, "precision", "recall")
+
+
+@query("j19_gap_with_interval")
+def j19_gap(v: Views) -> DataFrame:
+    """How much more of circular than of linear plasmids each tool covers, with an interval over studies."""
+    from tessera.operators import stats
+
+    truth = v.v_truth.filter("molecule_type = 'PLASMID'").select("sample", F.col("sequence_id").alias("tname"), "length", "is_circular")
+    rows = scoring.covered(v.retained).join(truth, ["sample", "tname"]).join(v.v_sheet.select("sample", "study"), "sample").withColumn("c", F.col("covered") / F.col("length"))
+    return stats.bootstrap_gap(rows, ["tool"], "study", "c", "is_circular")

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import bins, ranking, selection, stats
+from tessera.operators import bins, ranking, regression, selection, stats
 from tessera.operators.intervals import union_bp
 from tessera.plans.agreement import BINNED, table
 from tessera.plans.boards import VALS, values
@@ -200,37 +199,26 @@ def m05(v: Views) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def drivers(v: Views) -> tuple[DataFrame, list[str]]:
+    """Scores with what may drive them: the other score, the share of correct plasmids, run time, and the sample's species as columns."""
+    rows = v.v_scores.filter("f1 is not null").join(v.v_sheet.select("sample", "species", "study"), "sample").join(v.v_status.select(*RUN, "runtime_seconds"), RUN)
+    rows = rows.select("tool", "study", "species", F.col("f1").alias("y"), "bin_f1", (F.col("correct") / F.col("plasmids")).alias("correct_share"), F.log1p("runtime_seconds").alias("log_runtime"))
+    rows, species = regression.one_hot(rows, "species", [0, 1, 2, 3])  # the sheet's vocabulary
+    return rows, ["bin_f1", "correct_share", "log_runtime", *species]
+
+
 @query("m08_ridge_by_sums")
 def m08(v: Views) -> DataFrame:
-    """Ridge of f1 on bin_f1 and the correct share, per tool and penalty, chosen by leaving studies out: sums per (tool, study) are all that a solve needs."""
-    rows = v.v_scores.filter("f1 is not null").join(v.v_sheet, "sample").select("tool", "study", F.col("f1").alias("y"), F.col("bin_f1").alias("x1"), (F.col("correct") / F.col("plasmids")).alias("x2"))
-    names = ("one", "x1", "x2", "y")
-    rows = rows.withColumn("one", F.lit(1.0))
-    sums = rows.groupBy("tool", "study").agg(*(F.sum(F.col(a) * F.col(b)).alias(f"{a}_{b}") for i, a in enumerate(names) for b in names[i:]))
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        def moments(part: pd.DataFrame) -> np.ndarray:
-            m = np.zeros((4, 4))
-            for i, a in enumerate(names):
-                for j, b in enumerate(names[i:], i):
-                    m[i, j] = m[j, i] = part[f"{a}_{b}"].sum()
-            return m
-
-        whole, out = moments(pdf), []
-        for penalty in (0.01, 0.1, 1.0, 10.0):
-            ridge = np.diag([0.0, penalty, penalty])
-            loss = 0.0
-            for _, held in pdf.groupby("study"):
-                h = moments(held)
-                m = whole - h
-                b = np.linalg.lstsq(m[:3, :3] + ridge, m[:3, 3], rcond=None)[0]
-                loss += float(h[3, 3] - 2 * b @ h[:3, 3] + b @ h[:3, :3] @ b)
-            b = np.linalg.lstsq(whole[:3, :3] + ridge, whole[:3, 3], rcond=None)[0]
-            out.append((pdf.tool.iloc[0], penalty, loss / whole[0, 0], *map(float, b)))
-        return pd.DataFrame(out, columns=["tool", "penalty", "held_out_loss", "intercept", "b1", "b2"])
-
-    fitted = sums.groupBy("tool").applyInPandas(solve, "tool string, penalty double, held_out_loss double, intercept double, b1 double, b2 double")
-    return fitted.withColumn("chosen", F.row_number().over(Window.partitionBy("tool").orderBy("held_out_loss", "penalty")) == 1)
+    """Ridge of a tool's f1 on its drivers, standardised, with the penalty of least error on studies left out, nested error, baseline and calibration."""
+    rows, features = drivers(v)
+    return regression.ridge_by_study(rows, ["tool"], "study", features, "y")
+
+
+@query("j20_clustered_regression")
+def j20_clustered(v: Views) -> DataFrame:
+    """What each driver adds to f1 with the others held, with intervals over studies."""
+    rows, features = drivers(v)
+    return regression.clustered_regression(rows, ["tool"], "study", features, "y")
 
 
 #: Columns that only the truth gives; a recommender's features may not hold them.

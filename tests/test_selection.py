@@ -3,7 +3,7 @@
 import itertools
 import random
 
-from tessera.operators import graph, reconstruction, selection
+from tessera.operators import graph, reconstruction, selection, stats
 
 
 def test_dual_cap(spark):
@@ -68,3 +68,14 @@ def test_block_joins(spark):
         "wrap": ("origin_wrap", 0), "back": ("origin_wrap", 0), "dup": ("tandem_duplication", 500), "near": ("relocation", 150), "del": ("reference_deletion", 500), "ins": ("reference_insertion", 500),
         "inv": ("inversion_junction", 1000), "two": ("inter_replicon_junction", 1000),
     }
+
+
+def test_gap(spark):
+    """A gap that every study shows is supported, one that studies disagree on isn't, and two studies are too few."""
+    rows = []
+    for c in range(8):
+        rows += [("clear", c, 0.9 + c / 100, True), ("clear", c, 0.5, False), ("none", c, 0.5 + (-1) ** c * 0.3, True), ("none", c, 0.5, False)]
+        rows += [("few", c % 2, 0.9, True), ("few", c % 2, 0.1, False)]
+    out = {r.k: r for r in stats.bootstrap_gap(spark.createDataFrame(rows, "k string, c long, v double, known boolean"), ["k"], "c", "v", "known", draws=300).collect()}
+    assert {k: r.status for k, r in out.items()} == {"clear": "gap supported", "none": "no clear gap", "few": "too few studies"}
+    assert abs(out["clear"].gap - 0.435) < 1e-9 and out["clear"].low < 0.435 < out["clear"].high and out["few"].low is None
