@@ -11,6 +11,8 @@ a row. An empty table gives an empty result.
 
 from __future__ import annotations
 
+from statistics import NormalDist
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,13 +20,17 @@ from tessera.llm.common import cut, let, row_id, unused
 from tessera.llm.native import plain_words
 
 SYMBOLS = "#*$%&|<>"
-#: Feature: (its expression over the counts, the least spread taken). Each is a rate of a text.
+#: Feature: (its expression over the counts, the least spread taken, the quantile that the spread is taken at besides 0.75). Each is a
+#: rate of a text. At 0.8, a group of which a fifth is junk still has the bound of its others. Some hundredths of good texts repeat a line or
+#: two, so that rate's quantile lies further out; a short text's mean word length moves by some tenths with one address in it.
 RATES = {
-    "symbol_rate": ("n_symbols / n_words", 0.02),
-    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.02),
-    "repeat_rate": ("n_repeat_words / n_words", 0.02),
-    "word_length": ("word_chars / n_words", 0.1),
+    "symbol_rate": ("n_symbols / n_words", 0.02, 0.8),
+    "dup_line_rate": ("n_dup_lines / greatest(n_lines, 1)", 0.02, 0.97),
+    "repeat_rate": ("n_repeat_words / n_words", 0.02, 0.8),
+    "word_length": ("word_chars / n_words", 0.3, 0.8),
 }
+#: Size parameter of the sketches: ranks are right to some thousandths, and exact for groups of about this many rows.
+SKETCH_K = 1024
 #: What the base rules reject.
 BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
@@ -65,23 +71,24 @@ def features(docs: DataFrame) -> DataFrame:
 
 def bounds(rows: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataFrame:
     """lang, source and an upper bound for each rate, from sketches of the rows that the base rules pass."""
-    rated = rows.filter(f"not ({BASE_FAILED})").select("lang", "source", *(F.expr(e).alias(k) for k, (e, _) in RATES.items()))
-    own = rated.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k).alias(k) for k in RATES))
+    rated = rows.filter(f"not ({BASE_FAILED})").select("lang", "source", *(F.expr(e).alias(k) for k, (e, *_) in RATES.items()))
+    own = rated.groupBy("lang", "source").agg(F.count("*").alias("n"), *(F.kll_sketch_agg_double(k, SKETCH_K).alias(k) for k in RATES))
     own = cut(own)
 
     def merged(*keys: str) -> DataFrame:
-        return own.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k).alias(k) for k in RATES))
+        return own.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in RATES))
 
-    def bound(sketch: Column, least: float) -> Column:
-        middle, upper, far = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.5, 0.75, 0.9))
-        return middle + spreads * F.greatest(upper - middle, (far - middle) / 1.9, F.lit(least))  # 1.9: both alike for normal rates
+    def bound(sketch: Column, least: float, tail: float) -> Column:
+        middle, upper, far = (F.kll_sketch_get_quantile_double(sketch, F.lit(q)) for q in (0.5, 0.75, tail))
+        alike = NormalDist().inv_cdf(tail) / NormalDist().inv_cdf(0.75)  # both spreads are the same for normal rates
+        return middle + spreads * F.greatest(upper - middle, (far - middle) / alike, F.lit(least))
 
     def bounded(df: DataFrame, name: str) -> DataFrame:
-        limits = F.struct(*(bound(F.col(k), least).alias(k) for k, (_, least) in RATES.items()))
+        limits = F.struct(*(bound(F.col(k), *how).alias(k) for k, (_, *how) in RATES.items()))
         return df.withColumn(name, F.when(F.col("n") >= least_rows, limits)).drop("n", *RATES)
 
-    everything = own.agg(*(F.kll_merge_agg_double(k).alias(k) for k in RATES))
-    everything = everything.select(F.struct(*(bound(F.col(k), least).alias(k) for k, (_, least) in RATES.items())).alias("of_all"))
+    everything = own.agg(*(F.kll_merge_agg_double(k, SKETCH_K).alias(k) for k in RATES))
+    everything = everything.select(F.struct(*(bound(F.col(k), *how).alias(k) for k, (_, *how) in RATES.items())).alias("of_all"))
     by_lang = bounded(merged("lang"), "of_lang").withColumnRenamed("lang", "its_lang")
     out = bounded(own, "of_group").join(by_lang, F.col("lang").eqNullSafe(F.col("its_lang")), "left")
     out = out.withColumn("one", F.lit(1)).join(everything.withColumn("one", F.lit(1)), "one", "left")
@@ -99,7 +106,7 @@ def judge(docs: DataFrame, least_rows: int = 200, spreads: float = 6.0) -> DataF
     limit = limit.select(F.col("lang").alias("of_lang"), F.col("source").alias("of_source"), "bound")
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & F.col("source").eqNullSafe(F.col("of_source"))
     rated = rows.join(limit, same, "left").withColumn("base_failed", F.expr(BASE_FAILED))
-    odd = F.coalesce(*(F.when(F.expr(f"if(n_words > 0, {e}, 0) > bound.{k}"), F.lit(k)) for k, (e, _) in RATES.items()))
+    odd = F.coalesce(*(F.when(F.expr(f"if(n_words > 0, {e}, 0) > bound.{k}"), F.lit(k)) for k, (e, *_) in RATES.items()))
     rated = rated.withColumn("broken_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(odd))
     return rated.withColumn("kept", F.col("broken_rule").isNull()).drop("of_lang", "of_source", "bound")
 

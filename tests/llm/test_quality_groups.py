@@ -22,3 +22,32 @@ def test_odd_for_its_group_only(spark):
     assert sum(r.kept for r in found.values()) >= 0.97 * len(rows)
     limits = {r.source: r.bound["symbol_rate"] for r in quality.bounds(quality.features(docs)).collect()}
     assert limits["prose"] < 0.14 < 0.2 < limits["code"]
+
+
+def test_bounds_against_exact_quantiles(spark):
+    """The sketches' bounds are those of exact quantiles, within their rank error, and each row's verdict follows from them."""
+    import numpy as np
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").repartition(4)
+    rows = quality.features(docs).toPandas()
+    good = rows[~((rows.n_words < 50) | (100 * rows.n_repeat_words > 50 * rows.n_words))]
+    want = {("dup_line_rate", 0.97): good.n_dup_lines / good.n_lines.clip(lower=1), ("word_length", 0.8): good.word_chars / good.n_words}
+    found = {(r.lang, r.source): r.bound for r in quality.bounds(quality.features(docs)).collect()}
+    judged = {r.doc_id: r for r in quality.score(docs).collect()}
+    for (name, tail), rate in want.items():
+        for key, index in good.groupby(["lang", "source"]).groups.items():
+            if len(index) < 200:
+                continue
+            x = np.sort(rate[index].to_numpy())
+            at = lambda q, d: float(x[int(np.clip((q + d) * len(x), 0, len(x) - 1))])
+            spread = lambda d: max(at(0.75, d) - at(0.5, -d), (at(tail, d) - at(0.5, -d)) / {0.97: 2.788, 0.8: 1.248}[tail], 0.3 if name == "word_length" else 0.02)
+            assert at(0.5, -0.02) + 6 * spread(-0.01) - 1e-3 <= found[key][name] <= at(0.5, 0.01) + 6 * spread(0.01) + 1e-3
+    differ = 0
+    for r in rows.itertuples():
+        b, n = found[r.lang, r.source], max(r.n_words, 1)
+        over = r.n_words > 0 and (r.n_symbols / n > b.symbol_rate or r.n_dup_lines / max(r.n_lines, 1) > b.dup_line_rate or r.n_repeat_words / n > b.repeat_rate or r.word_chars / n > b.word_length)
+        base = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
+        differ += judged[r.doc_id].kept != (not base and not over)
+    assert differ <= 5  # two sketches of one table may differ by a few ranks
+    junk = [r for r in judged.values() if not r.base_failed and r.n_symbols > 0.3 * r.n_words]
+    assert len(junk) > 500 and not any(r.kept for r in junk)
