@@ -415,3 +415,46 @@ def test_importance(spark, docs, odd, labels):
         got = collections.Counter(r.doc_id for r in importance.top_k(ties, "x", k, ("doc_id",), bins=4, last=5).filter("kept").collect())
         assert got == collections.Counter(sorted(i % 50 for i in range(500))[:k])
     assert importance.resample(odd.limit(0), labels).count() == 0 and importance.resample(odd, labels.limit(0)).count() == odd.count()
+
+
+def test_log_weights(spark, docs):
+    """Weights against plain counting: an n-gram's bucket is what it gets alone, all else is counted here."""
+    from tessera.llm.common import slices
+
+    def bucket(gram):
+        found = importance.ngrams(next(slices(memoryview(gram.encode()), np.array([0, len(gram.encode())]))))[0]
+        return int(found[-1])  # words come before pairs
+
+    some = [r for r in docs.filter("length(text) between 1 and 600").limit(60).collect()]
+    target = {r.doc_id for r in some[::3]}
+    raw, own = np.ones(importance.BUCKETS), np.ones(importance.BUCKETS)
+    grams = {}
+    for r in some:
+        w = re.sub("[A-Z]", lambda m: m[0].lower(), r.text)
+        w = SPACE.findall(w)
+        grams[r.doc_id] = [bucket(x) for x in w] + [bucket(f"{a} {b}") for a, b in itertools.pairwise(w)]
+        np.add.at(raw, grams[r.doc_id], 1)
+        if r.doc_id in target:
+            np.add.at(own, grams[r.doc_id], 1)
+    ratio = np.log(own / own.sum()) - np.log(raw / raw.sum())
+    frame = spark.createDataFrame([(r.doc_id, r.text) for r in some], "doc_id long, text string")
+    labelled = spark.createDataFrame([(r.doc_id, int(r.doc_id in target)) for r in some], "doc_id long, quality int")
+    for r in importance.resample(frame, labelled).collect():
+        assert r.log_weight == pytest.approx(ratio[grams[r.doc_id]].sum(), abs=1e-6)
+
+
+def test_every_template_is_found(spark):
+    """Each notice as it stands, with a word put in, with its last word gone, and cut to half: all but the last are found."""
+    rows, want = [], {}
+    for k, (label, text) in enumerate(license_scan.TEMPLATES):
+        w = letters(text)
+        forms = [w, w[: len(w) // 2] + ["inserted"] + w[len(w) // 2 :], w[:-1], w[: len(w) // 2]]
+        for f, words in enumerate(forms):
+            rows.append((10 * k + f, "Some words before it. " + " ".join(words).upper() + ". And after it, more."))
+            covered = {p + j for p in range(len(w) - 2) if any(words[q : q + 3] == w[p : p + 3] for q in range(len(words))) for j in range(3)}
+            want[10 * k + f] = (label, len(covered) >= 0.8 * len(w))
+    got = {r.doc_id: r.labels.split(",") for r in license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    base = {"cc-by", "gpl", "reserved"}
+    for i, (label, found) in want.items():
+        assert (label in got[i]) == found or (label in base and label in got[i]), (i, label, got[i])
+    assert all(want[10 * k][1] for k in range(len(license_scan.TEMPLATES))) and not any(want[10 * k + 3][1] for k in range(len(license_scan.TEMPLATES)))

@@ -36,3 +36,22 @@ def test_empty(spark, empty):
     for _, stage in p.STAGES:
         frame = stage(spark, frame, DIR)
     assert frame.count() == 0
+
+
+def test_odd_rows(spark):
+    """Nulls in every column, repeated rows, empty and long texts, and columns with names of the stages' own: each stage keeps the columns and fails at nothing."""
+    import corpus_pipeline as p
+
+    base = " ".join(f"alpha{i} beta{i} gamma{i}" for i in range(40))
+    long = " ".join(f"w{i % 977}x{i % 13}" for i in range(30_000))
+    rows = [(1, base, "en", "a"), (2, base, "en", "a"), (2, base, "en", "a"), (3, None, None, None), (None, base + " end", None, "a"), (4, "", "en", "b"), (5, long, "de", None), (None, None, None, None), (6, base + " Frau Anna Weber", None, "a")]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row_id string, _row_key string, class string, component_id string, key string"
+    frame = spark.createDataFrame([(*r, None if r[1] is None else len(r[1]), *["clash"] * 5) for r in rows], schema)
+    columns = frame.columns
+    for name, stage in p.STAGES[:-1]:
+        frame = stage(spark, frame, DIR)
+        assert frame.columns == columns, name
+        frame = spark.createDataFrame(frame.collect(), schema)
+    kept = frame.collect()
+    assert sum(r.doc_id == 1 for r in kept) == 1 and not any(r.doc_id == 2 for r in kept) and sum(r.doc_id is None for r in kept) == 1 and all(r.row_id == "clash" for r in kept)
+    assert p.STAGES[-1][1](spark, frame, DIR).count() >= len(kept)
