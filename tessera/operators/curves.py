@@ -49,8 +49,21 @@ def f_optimal(curve: DataFrame, keys: list[str]) -> DataFrame:
     return best.groupBy(*keys).agg(F.max(F.struct("f1", "probability")).alias("b")).select(*keys, "b.probability", "b.f1")
 
 
+def summed_states(curve: DataFrame, thresholds: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """t and, for each column, the sum over all keys of the value that each key's step curve has at threshold t.
+
+    A curve's steps are differences, and differences of all curves add up along t, so no curve meets every threshold.
+    """
+    along = Window.partitionBy(*keys).orderBy(F.desc("probability"))
+    steps = curve.select(F.col("probability").alias("t"), *((F.col(c) - F.coalesce(F.lag(c).over(along), F.lit(0))).alias(c) for c in columns))
+    marks = thresholds.select("t", *(F.lit(0).alias(c) for c in columns), F.lit(True).alias("asked"))
+    sums = steps.withColumn("asked", F.lit(False)).union(marks).groupBy("t").agg(*(F.sum(c).alias(c) for c in columns), F.bool_or("asked").alias("asked"))
+    down = Window.orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)  # a row for each threshold that occurs
+    return sums.select("t", "asked", *(F.sum(c).over(down).alias(c) for c in columns)).filter("asked").drop("asked")
+
+
 def states(curve: DataFrame, thresholds: DataFrame, keys: list[str]) -> DataFrame:
-    """tp and fp of each key's step curve at each threshold t: those of the lowest probability that is t or more."""
+    """tp and fp of each key's step curve at each of a few thresholds t: those of the lowest probability that is t or more."""
     marks = curve.select(*keys).distinct().withColumn("one", F.lit(1)).join(thresholds.withColumn("one", F.lit(1)), "one")
     rows = curve.select(*keys, F.col("probability").alias("t"), "tp", "fp", F.lit(0).alias("mark")).unionByName(marks.select(*keys, "t", F.lit(None).cast("long").alias("tp"), F.lit(None).cast("long").alias("fp"), F.lit(1).alias("mark")))
     order = Window.partitionBy(*keys).orderBy(F.desc("t"), "mark").rowsBetween(Window.unboundedPreceding, 0)

@@ -368,7 +368,7 @@ def f05(v: Views) -> DataFrame:
     from tessera.operators import curves
     from tessera.plans.coverage import curve
 
-    return curves.states(curve(v), v.v_prob.select(F.col("probability").alias("t")).distinct(), ["tool"]).groupBy("t").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    return curves.summed_states(curve(v), v.v_prob.select(F.col("probability").alias("t")).distinct(), ["tool"], ["tp", "fp"])
 
 
 @query("f05_macro_curve", """
@@ -380,9 +380,12 @@ def f05_macro(v: Views) -> DataFrame:
     from tessera.plans.coverage import curve
 
     own = curve(v)
-    rows = curves.states(own, v.v_prob.select(F.col("probability").alias("t")).distinct(), ["tool"]).join(own.groupBy("tool").agg(F.max("tp").alias("total")), "tool")
+    own = own.join(own.groupBy("tool").agg(F.max("tp").alias("total")), "tool")
     p, r = F.when(F.col("tp") + F.col("fp") > 0, F.col("tp") / (F.col("tp") + F.col("fp"))), F.when(F.col("total") > 0, F.col("tp") / F.col("total"))
-    out = rows.groupBy("t").agg(F.count(p).alias("with_precision"), F.avg(p).alias("precision"), F.count(r).alias("with_recall"), F.avg(r).alias("recall"))
+    own = own.select("tool", "probability", F.coalesce(p, F.lit(0.0)).alias("p"), p.isNotNull().cast("long").alias("with_precision"), F.coalesce(r, F.lit(0.0)).alias("r"))
+    tools = own.select("tool").distinct().count()
+    rows = curves.summed_states(own, v.v_prob.select(F.col("probability").alias("t")).distinct(), ["tool"], ["p", "with_precision", "r"])
+    out = rows.select("t", "with_precision", F.try_divide("p", "with_precision").alias("precision"), F.lit(tools).cast("long").alias("with_recall"), (F.col("r") / tools).alias("recall"))
     return r6(out, "precision", "recall")
 
 
