@@ -79,3 +79,9 @@ def calibration(kept: DataFrame, probabilities: DataFrame, truth: DataFrame, bin
     rows = probabilities.join(label, F.col("record_id") == F.col("qname")).withColumn("bin", F.least(F.floor(F.col("probability") * bins), F.lit(bins - 1)))
     w, p, y = F.col("w"), F.col("probability"), F.col("y")
     return rows.groupBy("bin").agg(F.sum(w).alias("bp"), (F.sum(w * p) / F.sum(w)).alias("mean_p"), (F.sum(w * y) / F.sum(w)).alias("mean_y"), (F.sum(w * (p - y) * (p - y)) / F.sum(w)).alias("brier"))
+
+
+def expected_error(bins: DataFrame) -> DataFrame:
+    """Expected and largest calibration error and the Brier score of reliability bins, weighted by their bp."""
+    gap, w = F.abs(F.col("mean_p") - F.col("mean_y")), F.col("bp")
+    return bins.agg((F.sum(w * gap) / F.sum(w)).alias("expected_error"), F.max(gap).alias("largest_error"), (F.sum(w * F.col("brier")) / F.sum(w)).alias("brier"), F.sum(w).alias("bp"))

@@ -253,3 +253,15 @@ def j14(v: Views) -> DataFrame:
     chance = x.join(y, ["community_id", "c"]).groupBy("community_id").agg(F.sum(F.col("x") * F.col("y")).alias("xy"))
     po, pe = F.col("same") / F.col("n"), F.col("xy") / (F.col("n") * F.col("n"))
     return r6(one.join(chance, "community_id").select("community_id", ((po - pe) / (1 - pe)).alias("kappa")), "kappa")
+
+
+@query("n02_macro_scores", """
+SELECT community_id, round(avg(CASE WHEN 2 * tp + fp + fn > 0 THEN 2 * tp / CAST(2 * tp + fp + fn AS DOUBLE) END), 6) AS macro_f1, round(any_value(uncertain), 6) AS uncertain, round(sum(tp) / any_value(n), 6) AS accuracy FROM (SELECT community_id, cls, count(*) AS n, avg(CASE WHEN predicted_class IS NULL THEN 1.0 ELSE 0.0 END) AS uncertain, count(*) FILTER (truth_class = cls AND predicted_class = cls) AS tp, count(*) FILTER (truth_class <> cls AND predicted_class = cls) AS fp, count(*) FILTER (truth_class = cls AND coalesce(predicted_class, '') <> cls) AS fn
+FROM v_class CROSS JOIN (SELECT unnest(['plasmid', 'chromosome', 'virus']) AS cls) GROUP BY ALL) GROUP BY community_id""")
+def n02_macro(v: Views) -> DataFrame:
+    """Mean F1 of the classes that occur, the share of contigs without a call, and the share called right."""
+    per = v.v_class.groupBy("community_id").agg(F.count("*").alias("n"), F.avg(F.col("predicted_class").isNull().cast("double")).alias("uncertain"), F.count_if(F.col("predicted_class") == F.col("truth_class")).alias("right"))
+    rows = v.v_class.withColumn("cls", F.explode(F.array(*map(F.lit, ("plasmid", "chromosome", "virus")))))
+    t, p = F.col("truth_class") == F.col("cls"), F.coalesce(F.col("predicted_class") == F.col("cls"), F.lit(False))
+    macro = rows.groupBy("community_id", "cls").agg(rates.share(2 * F.count_if(t & p), F.count_if(t) + F.count_if(p)).alias("f1")).groupBy("community_id").agg(F.avg("f1").alias("macro_f1"))
+    return r6(macro.join(per, "community_id").select("community_id", "macro_f1", "uncertain", (F.col("right") / F.col("n")).alias("accuracy")), "macro_f1", "uncertain", "accuracy")

@@ -302,3 +302,10 @@ SELECT bin, CAST(sum(w) AS BIGINT) AS bp, round(sum(w * probability) / sum(w), 6
 FROM (SELECT probability, least(CAST(floor(probability * 10) AS BIGINT), 9) AS bin, w, y FROM v_prob p JOIN (SELECT qname, sum(e - s) AS w, sum(CASE WHEN molecule_type = 'PLASMID' THEN e - s ELSE 0 END) / CAST(sum(e - s) AS DOUBLE) AS y FROM v_retained a JOIN v_truth t ON a.tname = t.sequence_id GROUP BY qname) l ON p.record_id = l.qname) GROUP BY bin""")
 def j15(v: Views) -> DataFrame:
     return r6(curves.calibration(v.retained, v.v_prob, v.v_truth), "mean_p", "mean_y", "brier")
+
+
+@query("j15_expected_error", """
+SELECT round(sum(bp * abs(mp - my)) / sum(bp), 6) AS expected_error, round(max(abs(mp - my)), 6) AS largest_error, round(sum(bp * brier) / sum(bp), 6) AS brier, CAST(sum(bp) AS BIGINT) AS bp FROM (SELECT least(CAST(floor(probability * 10) AS BIGINT), 9) AS bin, sum(w) AS bp, sum(w * probability) / sum(w) AS mp, sum(w * y) / sum(w) AS my, sum(w * (probability - y) * (probability - y)) / sum(w) AS brier
+FROM v_prob p JOIN (SELECT qname, sum(e - s) AS w, sum(CASE WHEN molecule_type = 'PLASMID' THEN e - s ELSE 0 END) / CAST(sum(e - s) AS DOUBLE) AS y FROM v_retained a JOIN v_truth t ON a.tname = t.sequence_id GROUP BY qname) l ON p.record_id = l.qname GROUP BY bin)""")
+def j15_error(v: Views) -> DataFrame:
+    return r6(curves.expected_error(curves.calibration(v.retained, v.v_prob, v.v_truth)), "expected_error", "largest_error", "brier")

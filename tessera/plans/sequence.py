@@ -174,3 +174,15 @@ def l13(v: Views) -> DataFrame:
 @query("l08_depth_per_replicon", "SELECT replicon, count(*) AS positions, round(sum(depth), 4) AS total, round(sum(depth) / (max(pos) - min(pos) + 1), 6) AS mean_depth FROM v_depth GROUP BY replicon")
 def l08(v: Views) -> DataFrame:
     return v.v_depth.groupBy("replicon").agg(F.count("*").alias("positions"), F.round(F.sum("depth"), 4).alias("total"), F.round(F.sum("depth") / (F.max("pos") - F.min("pos") + 1), 6).alias("mean_depth"))
+
+
+@query("l05_sequence_statistics", """
+SELECT source, count(*) AS sequences, CAST(sum(n) AS BIGINT) AS bp, max(n) AS largest, max(CASE WHEN 2 * run >= total THEN n END) AS n50, min(CASE WHEN 2 * run >= total THEN k END) AS l50, round(100.0 * sum(gc) / sum(acgt), 6) AS gc_percent FROM (SELECT *, sum(n) OVER w AS run, row_number() OVER w AS k, sum(n) OVER (PARTITION BY source) AS total
+FROM (SELECT id, source, length(sequence) AS n, length(sequence) - length(translate(sequence, 'GC', '')) AS gc, length(sequence) - length(translate(sequence, 'ACGT', '')) AS acgt FROM v_seq WHERE length(sequence) > 0) WINDOW w AS (PARTITION BY source ORDER BY n DESC, id ROWS UNBOUNDED PRECEDING)) GROUP BY source""")
+def l05_sequences(v: Views) -> DataFrame:
+    held = lambda letters: F.length("sequence") - F.length(F.translate("sequence", letters, ""))
+    rows = v.v_seq.filter(F.length("sequence") > 0).select("id", "source", F.length("sequence").cast("long").alias("n"), held("GC").alias("gc"), held("ACGT").alias("acgt"))
+    w = Window.partitionBy("source").orderBy(F.desc("n"), "id")
+    rows = rows.select("*", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("run"), F.row_number().over(w).cast("long").alias("k"), F.sum("n").over(Window.partitionBy("source")).alias("total"))
+    reached = lambda c: F.when(2 * F.col("run") >= F.col("total"), F.col(c))
+    return r6(rows.groupBy("source").agg(F.count("*").alias("sequences"), F.sum("n").alias("bp"), F.max("n").alias("largest"), F.max(reached("n")).alias("n50"), F.min(reached("k")).alias("l50"), (100 * F.sum("gc") / F.sum("acgt")).alias("gc_percent")), "gc_percent")
