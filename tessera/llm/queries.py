@@ -7,7 +7,7 @@ import secrets
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, importance, langid, license_scan, packing, pii, quality, simhash, substring, toxicity
+from tessera.llm import centroids, decontam, importance, langid, license_scan, packing, pii, prefix_trie, quality, simhash, substring, toxicity, url_filter
 
 
 #: The session setting that holds the secret of surrogates.
@@ -69,6 +69,18 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir)).drop("spans")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +92,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_importance": op9_importance,
     "op10_license_scan": op10_license_scan,
+    "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_url_filter": op12_url_filter,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_centroid_clustering": centroids.sql(), "op13_prefix_trie": prefix_trie.sql()}
