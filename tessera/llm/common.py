@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +28,13 @@ def row_id(*columns: Column) -> Column:
     return F.struct(F.xxhash64(*marked).alias("a"), F.xxhash64(F.lit("second"), *marked).alias("b"))
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a table of the shared folder. Unlike a checkpoint it keeps none of the conditions that held in its plan, which pile up over many rounds."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def unused(docs: DataFrame, name: str) -> str:
     """A column name that docs doesn't have."""
     taken = {c.lower() for c in docs.columns}

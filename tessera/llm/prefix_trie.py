@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, ship
+from tessera.llm.common import cut, ship, written
 
 #: Conversation ids that go into one chunk of text on their way into a digest.
 CHUNK_IDS = 4096
@@ -231,34 +231,35 @@ def subtree_sums(nodes: DataFrame, path: DataFrame, columns: list[str], local_no
     path: the node k (below p) that conversation conv_id passes at each depth; it tells what lies below or above a centroid.
     """
     more = ["more_" + c for c in columns]
-    state = nodes.withColumns({"c": _key()} | {c: F.lit(0).cast("long") for c in more}).select("k", "p", "c", "depth", "conv_id", "w", *columns, *more)
+    state = nodes.withColumns({"c": _key()} | {c: F.lit(0).cast("long") for c in more})
+    state = written(state.select("k", "p", "c", "depth", "conv_id", "w", *columns, *more))
     path, done = path.select("conv_id", "depth", "k", "p"), []
     while True:
         size = state.groupBy("c").agg(F.count("*").alias("n"), F.max("w").alias("of_all"), *(F.sum(c).alias("all_" + c) for c in columns))
-        large = cut(size.filter(F.col("n") > local_nodes).drop("n"))
+        large = written(size.filter(F.col("n") > local_nodes).drop("n"))
         if large.isEmpty():
             break
         marked = state.join(large, "c", "left")
         done.append(("open", marked.filter("of_all is null").select(state.columns)))
         marked = marked.filter("of_all is not null")
         centroid = marked.filter("2 * w >= of_all").groupBy("c").agg(F.max_by(F.struct("k", "depth", "conv_id", "w"), "depth").alias("mid"))
-        centroid = cut(centroid)
+        centroid = written(centroid)
         below = marked.join(centroid, "c").filter("depth > mid.depth").select("conv_id", (F.col("mid.depth") + 1).alias("at"), F.col("mid.k").alias("mid_k")).distinct()
         looked = path.select("conv_id", F.col("depth").alias("at"), F.col("p").alias("mid_k"), F.col("k").alias("child"))
         below = below.join(looked, ["conv_id", "at", "mid_k"])
         above = centroid.select("c", F.col("mid.conv_id").alias("conv_id"), F.col("mid.depth").alias("at")).join(path, "conv_id").filter("depth < at")
         above = above.select("c", "k").unionByName(centroid.filter("mid.depth > 0").select("c", _key().alias("k"))).withColumn("above", F.lit(True))
-        split = marked.join(centroid, "c").withColumns({"at": F.col("mid.depth") + 1, "mid_k": F.col("mid.k")})
+        split = marked.join(centroid, "c").withColumns({"at": F.when(F.col("depth") > F.col("mid.depth"), F.col("mid.depth") + 1), "mid_k": F.col("mid.k")})
         split = split.join(below, ["conv_id", "at", "mid_k"], "left").join(above, ["c", "k"], "left")
         split = split.withColumn("part", F.when(F.col("k") == F.col("mid_k"), "mid").when(F.col("child").isNotNull(), "below").when(F.col("above"), "above").otherwise("beside"))
-        split = cut(split.select(*state.columns, "mid", "part", F.when(F.col("part") == "below", F.col("child")).otherwise(F.col("c")).alias("new_c")))
+        split = written(split.select(*state.columns, "mid", "part", F.when(F.col("part") == "below", F.col("child")).otherwise(F.col("c")).alias("new_c")))
         total = split.filter("part in ('mid', 'below')").groupBy("c").agg(*(F.sum(c).alias("sum_" + c) for c in columns))
         split = split.join(total, "c")
         done.append(("sums", split.filter("part = 'mid'").select("k", *((F.col("more_" + c) + F.col("sum_" + c)).alias(c) for c in columns))))
         gained = {"more_" + c: F.when(F.col("part") == "above", F.col("more_" + c) + F.col("sum_" + c)).otherwise(F.col("more_" + c)) for c in columns}
         lighter = F.when(F.col("part") == "above", F.col("w") - F.col("mid.w")).otherwise(F.col("w"))
         state = split.filter("part != 'mid'").withColumns(gained | {"w": lighter}).withColumn("c", F.col("new_c")).select(state.columns)
-        state = cut(state)
+        state = written(state)
     small = state
     for kind, df in done:
         small = small.unionByName(df) if kind == "open" else small
