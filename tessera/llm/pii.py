@@ -13,13 +13,18 @@ gives away is replaced wherever else the text has it, with or without a title.
 No surrogate is used unchecked: pseudonymise() and replace_in() first count originals for each surrogate over the whole table and
 raise an error if two share one.
 
+Names are found by a title before them (in Latin, Cyrillic or Arabic script) or an honorific behind (Chinese), with particles kept.
+What is found is bounded in length and a text is read in linear time, however long its unbroken runs are.
+
 Null texts stay null and have no entities. Texts without entities are unchanged. Every row is kept, repeated and
 null-id rows too; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import ipaddress
 import re
 from collections.abc import Callable, Iterator
 
@@ -29,9 +34,10 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import ship
 
-_VOWELS, _CONSONANTS = "aeiou", "bcdfghjklmnpqrstvwxyz"
+_VOWELS, _CONSONANTS = ("aeiou", "аеёиоуыэюя"), ("bcdfghjklmnpqrstvwxyz", "бвгджзйклмнпрстфхцчшщ")
 _ACCENTED = "àáâäåãæçèéêëìíîïñòóôöõøùúûüýÿœß"
-_RANGES = ((0x0430, 0x044F), (0x03B1, 0x03C9), (0x05D0, 0x05EA), (0x0621, 0x063A), (0x0905, 0x0939), (0x3041, 0x3096), (0x30A1, 0x30FA), (0xAC00, 0xD7A3), (0x4E00, 0x9FA5))
+#: Letters of other scripts, and ideographs, by the code points of their ranges.
+_RANGES = ((0x0430, 0x044F), (0x03B1, 0x03C9), (0x05D0, 0x05EA), (0x0621, 0x063A), (0x0641, 0x064A), (0x0905, 0x0939), (0x3041, 0x3096), (0x30A1, 0x30FA), (0xAC00, 0xD7A3), (0x4E00, 0x9FA5))
 #: Given names by gender and script.
 GIVEN = (
     ("m", "james john robert michael william david richard joseph thomas charles daniel matthew anthony mark steven paul andrew peter hans klaus jürgen pierre jean luc carlos josé miguel juan".split()),
@@ -40,49 +46,50 @@ GIVEN = (
     ("f", "анна мария елена ольга наталья ирина светлана татьяна".split()),
 )
 _LISTS = {name: names for _, names in GIVEN for name in names}
-_TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra"
+_TITLES = "Mr|Mrs|Ms|Miss|Dr|Prof|Herr|Frau|Monsieur|Madame|Mme|Mlle|Señor|Señora|Sr|Sra|г-н|г-жа|господин|госпожа|доктор|профессор|السيد|السيدة|الدكتور|الدكتورة|الأستاذ|الأستاذة"
+#: Parts of a name that stay as they are.
+_PARTICLES = "de|la|las|los|del|della|di|da|dos|du|le|van|von|der|den|ten|zu|bin|ibn|bint|al|el"
+#: Chinese family names and what follows a name in place of a title.
+_FAMILIES = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕"
+_HONORIFICS = "先生|女士|小姐|太太|教授|医生"
+_LABEL = "[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?"
+_NAME_WORD = r"(?:[A-ZÀ-Þ]['’])?(?:[A-ZÀ-ÞЀ-Я][^\W\d_]{1,40}|[\u0621-\u064A]{2,40})(?![^\W\d_])"
+#: Every pattern is bounded, or starts at the beginning of a run alone, so a long unbroken run is read in linear time.
 _FINDERS = (
-    ("email", r"[^\W_][\w.+%-]*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?)+"),
-    ("secret", r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,}|gh[pousr]_[A-Za-z0-9]{36})\b"),
+    ("email", rf"(?<![^\W_])[^\W_][\w.+%-]{{0,63}}+@{_LABEL}(?:\.{_LABEL}){{1,8}}"),
+    ("secret", r"\b(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|AKIA[0-9A-Z]{16}|sk-[A-Za-z0-9]{20,200}|gh[pousr]_[A-Za-z0-9]{36})\b"),
     ("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?!\d|\.\d)"),
-    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
+    ("ip6", r"(?<![\w:])(?=[A-Fa-f]{0,3}\d)[0-9A-Fa-f]{3,4}(?:(?::[0-9A-Fa-f]{1,4}){7}|(?::[0-9A-Fa-f]{1,4}){0,5}:(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:])"),
+    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])|(?<=SSN )\d{9}(?!\d)|(?<=SSN: )\d{9}(?!\d)"),
     ("phone", r"(?<!\d)0\d(?:[ .]\d\d){4}(?![ .]?\d)|(?<![\d.,-])0\d{1,4}[ /-]\d{3,8}(?:[ -]\d{2,4})?(?![ .,-]?\d)|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,5}(?!\d)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])"),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b"),
     ("card", r"(?<!\d)\d(?:[ -]?\d){12,18}(?!\d)"),
-    ("name", rf"\b(?:{_TITLES})\.? (?=[^\W\d_])[A-ZÀ-ÞЀ-Я][^\W\d_]+(?:[ -][A-ZÀ-ÞЀ-Я][^\W\d_]+)?"),
+    ("name", rf"\b(?:{_TITLES})\.? (?:(?:{_PARTICLES})[ -]){{0,3}}{_NAME_WORD}(?:[ -](?:(?:{_PARTICLES})[ -]){{0,3}}{_NAME_WORD})?|[{_FAMILIES}][\u4E00-\u9FA5]{{1,2}}?(?={_HONORIFICS})"),
 )
 _WORD = re.compile(r"[^\W\d_]+")
 FINDER = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _FINDERS))
 #: Country codes of two digits; those from 1 and 7 have one, all others three.
 _TWO = set("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
-_MAYBE = re.compile(rf"[@\d]|\b(?:{_TITLES})\b")
+_MAYBE = re.compile(rf"[@\d]|\b(?:{_TITLES})\b|{_HONORIFICS}|:[0-9A-Fa-f]")
+_TITLE = re.compile(rf"(?:{_TITLES})\.? ")
+_KEPT = set(_PARTICLES.split("|"))
 
 
-def _alphabet(c: str, pronounced: bool) -> tuple[int, int] | None:
-    """A lower-case character's place in its class and the class's size; None if it stands for itself."""
+def _alphabet(c: str, pronounced: bool) -> tuple[int, int, str | int] | None:
+    """A lower-case character's place in its class, the class's size, and its letters or first code point; None if it stands for itself."""
     if "0" <= c <= "9":
-        return ord(c) - 48, 10
-    if pronounced and c in _VOWELS:
-        return _VOWELS.index(c), 5
-    if pronounced and c in _CONSONANTS:
-        return _CONSONANTS.index(c), 21
+        return ord(c) - 48, 10, 48
+    if pronounced:
+        for letters in (*_VOWELS, *_CONSONANTS):
+            if c in letters:
+                return letters.index(c), len(letters), letters
+        if c in "ьъ":
+            return None
     if "a" <= c <= "z":
-        return ord(c) - 97, 26
+        return ord(c) - 97, 26, 97
     if c in _ACCENTED:
-        return _ACCENTED.index(c), len(_ACCENTED)
-    return next(((ord(c) - a, b - a + 1) for a, b in _RANGES if a <= ord(c) <= b), None)
-
-
-def _letter(c: str, place: int, size: int) -> str:
-    if size == 10:
-        return chr(48 + place)
-    if size in (5, 21):
-        return (_VOWELS if size == 5 else _CONSONANTS)[place]
-    if size == 26:
-        return chr(97 + place)
-    if c in _ACCENTED:
-        return _ACCENTED[place]
-    return chr(next(a for a, b in _RANGES if a <= ord(c) <= b) + place)
+        return _ACCENTED.index(c), len(_ACCENTED), _ACCENTED
+    return next(((ord(c) - a, b - a + 1, a) for a, b in _RANGES if a <= ord(c) <= b), None)
 
 
 def permute(values: list[int], sizes: list[int], key: bytes, rounds: int = 8) -> list[int]:
@@ -119,8 +126,8 @@ def disguise(text: str, key: bytes, kind: str, pronounced: bool = False) -> str:
     form = "".join("\x00" if _alphabet(c, pronounced) else c for c in low)
     own = hashlib.blake2b(f"{kind}|{form}".encode(), key=key, digest_size=32).digest()
     out = list(text)
-    for (i, (_, size)), v in zip(there, permute([x[0] for _, x in there], [x[1] for _, x in there], own), strict=True):
-        c = _letter(low[i], v, size)
+    for (i, (_, _, letters)), v in zip(there, permute([x[0] for _, x in there], [x[1] for _, x in there], own), strict=True):
+        c = letters[v] if isinstance(letters, str) else chr(letters + v)
         out[i] = c.upper() if text[i] != low[i] and len(c.upper()) == 1 else c
     return "".join(out)
 
@@ -162,21 +169,37 @@ def _ip(text: str, key: bytes) -> str:
     def step(x: str) -> str:
         return ".".join(map(str, permute([int(v) for v in x.split(".")], [256] * 4, key)))
 
-    return _walk(".".join(str(int(v)) for v in text.split(".")), step, _network)
+    new = _walk(".".join(str(int(v)) for v in text.split(".")), step, _network)
+    return ".".join(n.zfill(len(v)) if v[0] == "0" and len(v) > 1 else n for n, v in zip(new.split("."), text.split("."), strict=True))
+
 
+def _ip6(text: str, key: bytes) -> str | None:
+    """Another address under the same first group, written in full if text is."""
+    try:
+        plain = ipaddress.IPv6Address(text).exploded
+    except ValueError:
+        return None
+    digits = permute([int(c, 16) for c in plain[5:].replace(":", "")], [16] * 28, key)
+    groups = [plain[:4], *("".join(f"{v:x}" for v in digits[i : i + 4]) for i in range(0, 28, 4))]
+    new = ipaddress.IPv6Address(":".join(groups))
+    new = str(new) if "::" in text else ":".join(f"{int(g, 16):x}" for g in groups)
+    return new.upper() if text != text.lower() else new
 
+
+@functools.lru_cache(100_000)
 def _one_name(word: str, key: bytes) -> str:
     """A word of a name: a known given name's next in the key's order of its list, others by their letters."""
     low = word.lower()
     if names := _LISTS.get(low):
         group = next(g for _, g in GIVEN if low in g)
         order = sorted(group, key=lambda x: hashlib.blake2b(f"given|{names[0]}|{x}".encode(), key=key).digest())
-        return order[(order.index(low) + 1) % len(order)].title()
+        new = order[(order.index(low) + 1) % len(order)]
+        return new.upper() if word.isupper() else new if word == low else new.title()
     return _walk(word, lambda x: disguise(x, key, "name", True), lambda x: x.lower() in _LISTS)
 
 
 def _names(text: str, key: bytes) -> str:
-    return _WORD.sub(lambda m: _one_name(m[0], key), text)
+    return _WORD.sub(lambda m: m[0] if m[0] in _KEPT else _one_name(m[0], key), text)
 
 
 def _national(text: str, digits: str) -> int:
@@ -200,6 +223,12 @@ def _iban(text: str, key: bytes) -> str:
     return "".join(c if c == " " else next(chars) for c in text)
 
 
+def _bare(name: str) -> str:
+    """A name without its title."""
+    m = _TITLE.match(name)
+    return name[m.end() :] if m else name
+
+
 def identity(kind: str, text: str) -> str:
     """What two spellings of one entity have in common, and no two entities."""
     if kind == "ip":
@@ -212,8 +241,10 @@ def identity(kind: str, text: str) -> str:
         return text.replace(" ", "")
     if kind == "email":
         return text.lower()
+    if kind == "ip6":
+        return ipaddress.IPv6Address(text).exploded
     if kind == "name":
-        return " ".join(_WORD.findall(re.sub(rf"^(?:{_TITLES})\.? ", "", text).lower()))
+        return " ".join(_WORD.findall(_bare(text).lower()))
     return text
 
 
@@ -232,8 +263,10 @@ def surrogate(kind: str, text: str, key: bytes) -> str | None:
         host, _, top = domain.rpartition(".")
         return disguise(f"{local}@{host}", key, "email") + f".{top}.example"
     if kind == "name":
-        title, _, rest = text.partition(" ")
-        return title + " " + _names(rest, key)
+        rest = _bare(text)
+        return text[: len(text) - len(rest)] + _names(rest, key)
+    if kind == "ip6":
+        return _ip6(text, key)
     if kind == "iban":
         return _iban(text, key)
     if kind == "secret" and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
@@ -242,12 +275,27 @@ def surrogate(kind: str, text: str, key: bytes) -> str | None:
     return disguise(text, key, kind)
 
 
-def _mentions(text: str, names: set[str]) -> re.Pattern | None:
-    """Names in full, and those of their words of four letters or more that the text never has in lower case."""
+def _mentions(text: str, names: set[str]) -> tuple[set[str], int]:
+    """Names in full, those of their words of four letters or more that the text never has in lower case, and how many words they have at most."""
     words = {w for n in names for w in _WORD.findall(n) if len(w) > 3}
     plain = set(_WORD.findall(text)) if words else set()
-    every = sorted({n for n in names if " " in n or "-" in n} | {w for w in words if w.lower() not in plain}, key=lambda x: (-len(x), x))
-    return re.compile(rf"(?<![^\W_])(?:{'|'.join(map(re.escape, every))})(?![^\W_])") if every else None
+    every = {n for n in names if len(_WORD.findall(n)) > 1 or not n.isascii()} | {w for w in words if w.lower() not in plain}
+    return every, max((len(_WORD.findall(n)) for n in every), default=0)
+
+
+def _again(text: str, names: set[str], longest: int, swap: Callable[[str], str]) -> str:
+    """text with the names in it swapped, longest first, where neither letter nor digit adjoins; each word is looked up, whatever the number of names."""
+    words, out, at, i = list(_WORD.finditer(text)), [], 0, 0
+    while i < len(words):
+        start, step = words[i].start(), 1
+        for n in range(min(longest, len(words) - i), 0, -1):
+            end = words[i + n - 1].end()
+            if end - start <= 200 and text[start:end] in names and not text[max(start - 1, 0) : start].isalnum() and not text[end : end + 1].isalnum():
+                out += [text[at:start], swap(text[start:end])]
+                at, step = end, n
+                break
+        i += step
+    return "".join(out) + text[at:]
 
 
 def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
@@ -256,21 +304,20 @@ def replace(text: str, key: bytes) -> tuple[str, list[tuple[str, str, str]]]:
     if not _MAYBE.search(text):
         return text, found
     places = [(m, new) for m in FINDER.finditer(text) if (new := surrogate(m.lastgroup, m[0], key)) is not None]
-    names = {m[0].partition(" ")[2] for m, _ in places if m.lastgroup == "name"}
-    again = _mentions(text, names) if names else None
+    names, longest = _mentions(text, {_bare(m[0]) for m, _ in places if m.lastgroup == "name"})
 
-    def swap(m: re.Match) -> str:
-        new = _names(m[0], key)
-        found.append(("name", m[0], new))
+    def swap(name: str) -> str:
+        new = _names(name, key)
+        found.append(("name", name, new))
         return new
 
     out, at = [], 0
     for m, new in places:
-        out.append(again.sub(swap, text[at : m.start()]) if again else text[at : m.start()])
+        out.append(_again(text[at : m.start()], names, longest, swap) if names else text[at : m.start()])
         found.append((m.lastgroup, m[0], new))
         out.append(new)
         at = m.end()
-    out.append(again.sub(swap, text[at:]) if again else text[at:])
+    out.append(_again(text[at:], names, longest, swap) if names else text[at:])
     return "".join(out), found
 
 
