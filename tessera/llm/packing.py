@@ -3,8 +3,9 @@
 Documents are tokenized once, in tasks; only piece lengths and checksums go further. The histogram has at most
 ``capacity`` entries whatever the corpus, and so has the linear program: minimise the number of sequences over all
 configurations (multisets of lengths that fit) so that each length is covered. Multiplicative weights solve it, with
-a knapsack over the weights as pricing, to within a known gap; its rounds cover shares of the histogram that are rounded down to whole
-pieces, and what is left (some hundredths) is packed by best fit, longest first, still by length alone. Pieces then find their configuration by their rank among pieces of
+a knapsack over the weights as pricing of full configurations; its rounds cover parts of half the histogram that are rounded down to whole
+pieces, and the other half is packed by best fit, longest first, still by length alone: a greedy packing of all that the program leaves
+needs some of every length, and its waste is that of the smaller rest. Pieces then find their configuration by their rank among pieces of
 their length, which is counted per bucket, so no task holds all pieces of a length.
 
 Null and empty texts are a document of the end token alone. Rows with a null doc_id and repeated rows are packed like
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import cut, ship
 
 #: Value that a configuration may lose for each long piece that it takes in place of short ones.
-SLACK = 0.0006
+SLACK = 0.02
 #: Entries of a worker's table of encoded words; a full table is emptied.
 CACHE_WORDS = 500_000
 _NEAR_WHITE = re.compile(r"\s | \s|^ | $")
@@ -128,18 +129,19 @@ def pieces(docs: DataFrame, path: str, ranks_path: str | None = None, pattern: s
 
 
 def price(value: np.ndarray, capacity: int) -> np.ndarray:
-    """The greatest value of lengths 1..len(value) within each room 0..capacity: dynamic programming over the room."""
-    best = np.zeros(capacity + 1)
+    """The greatest value of lengths 1..len(value) that fill each room 0..capacity exactly: dynamic programming over the room. -inf: none do."""
+    best = np.full(capacity + 1, -np.inf)
+    best[0] = 0.0
     back = np.ascontiguousarray(value[::-1])
     n = len(value)
     for room in range(1, capacity + 1):
         most = min(room, n)
-        best[room] = max(best[room - 1], (back[n - most :] + best[room - most : room]).max())
+        best[room] = (back[n - most :] + best[room - most : room]).max()
     return best
 
 
-def configuration(first: int, value: np.ndarray, best: np.ndarray, left: np.ndarray, slack: float) -> np.ndarray:
-    """How often each length stands in a configuration that holds first, no length more often than is left: at each place the longest one that costs no more than slack of the greatest value."""
+def configuration(first: int, value: np.ndarray, best: np.ndarray, left: np.ndarray, slack: float) -> np.ndarray | None:
+    """How often each length stands in a full configuration that holds first, no length more often than is left: at each place the longest one that costs no more than slack of the greatest value. None if there is none."""
     used = np.zeros(len(value), np.int64)
     room, pick = len(best) - 1, first
     while True:
@@ -148,36 +150,35 @@ def configuration(first: int, value: np.ndarray, best: np.ndarray, left: np.ndar
         if not room:
             return used
         most = min(room, len(value))
-        got = np.where(left[:most] > used[:most], value[:most] + best[room - most : room][::-1], 0.0)
-        if not got.any():
-            return used
-        pick = int(np.flatnonzero((got > 0) & (got >= got.max() - slack))[-1]) + 1
+        got = np.where(left[:most] > used[:most], value[:most] + best[room - most : room][::-1], -np.inf)
+        if (top := got.max()) == -np.inf:
+            return None
+        pick = int(np.flatnonzero(got >= top - slack)[-1]) + 1
 
 
-def configurations(count: np.ndarray, capacity: int, rate: float = 0.001, rounds: int = 8, batch: int = 48) -> tuple[dict[bytes, int], int, float]:
-    """The program's solution by multiplicative weights: configurations and how often each is used, its value, and a bound on any solution's.
+def configurations(count: np.ndarray, capacity: int, rate: float = 0.5, share: float = 0.5, rounds: int = 8, batch: int = 24) -> tuple[dict[bytes, int], int, float]:
+    """The program's solution by multiplicative weights, rounded: full configurations and how often each is used, all sequences, and a bound on any solution's.
 
-    Each round raises what must be covered of every length by the same share, rounded down to whole pieces, so all lengths are
-    covered at one pace. A length's weight starts at its share of the capacity, falls by exp(-rate) times the share of it that is
-    covered, and is zero while the round's share is. Knapsacks over the weights price configurations; those that come within rate of the
-    best are used, longest lengths first, as often as what is left of the round allows. A length that finds none waits for the next
-    round. Weights that no configuration exceeds are a solution of the dual: that is the bound. What the last round leaves is
-    covered by best fit, which counts.
+    The program covers share of every length; the rest, of which all lengths are left alike, is what best fit completes the packing from.
+    Each round raises what must be covered of every length by the same part of that, rounded down to whole pieces. A length's weight starts at its
+    share of the capacity, falls by exp(-rate) times the part of it that is covered, and is zero while the round's part is. Knapsacks over
+    the weights price full configurations, longest lengths first, and use them as often as what is left of the round allows. A length
+    that finds none waits for the next round. Weights at their start are a solution of the dual: that is the bound.
     """
     lengths = np.arange(1, len(count) + 1)
-    covered, found, bound = np.zeros(len(count), np.int64), {}, 0.0
+    covered, found = np.zeros(len(count), np.int64), {}
     for k in range(1, rounds + 1):
-        left = count * k // rounds - covered
+        goal = np.floor(share * count * k / rounds).astype(np.int64)
+        left = goal - covered
         waits = np.zeros(len(count), bool)
         while len(firsts := np.flatnonzero((left > 0) & ~waits)[::-1][:batch] + 1):
-            value = np.where(left > 0, lengths / capacity * np.exp(-rate * covered / np.maximum(count, 1)), 0.0)
+            value = np.where(left > 0, lengths / capacity * np.exp(-rate * covered / np.maximum(goal, 1)), -np.inf)
             best = price(value, capacity)
-            bound = max(bound, float(count @ value) / best[capacity])
             for first in firsts.tolist():
                 if not left[first - 1]:
                     continue
                 used = configuration(first, value, best, left, SLACK)
-                if used @ value < (1 - rate) * best[capacity]:
+                if used is None:
                     waits[first - 1] = True
                     continue
                 on = np.flatnonzero(used)
@@ -186,7 +187,8 @@ def configurations(count: np.ndarray, capacity: int, rate: float = 0.001, rounds
                 found[key] = found.get(key, 0) + step
                 left[on] -= step * used[on]
                 covered[on] += step * used[on]
-    return found, sum(found.values()) + sum(n for _, n in best_fit(count - covered, capacity)), bound
+    total = sum(found.values()) + sum(n for _, n in best_fit(count - covered, capacity))
+    return found, total, float(count @ lengths) / capacity
 
 
 def best_fit(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
@@ -226,20 +228,12 @@ def best_fit(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return done + [(lengths, bins) for held in by_room.values() for lengths, bins in held]
 
 
-def plan(count: np.ndarray, capacity: int, gap: float = 0.01) -> list[tuple[list[int], int]]:
-    """Bins for every piece of the histogram: the program's configurations, and best fit for the pieces that they leave.
-
-    The weights' rate rises until a solution is within ``gap`` of the bound; the least of those found decides.
-    """
+def plan(count: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
+    """Bins for every piece of the histogram: the program's configurations, and best fit for the pieces that they leave."""
     count = np.asarray(count, np.int64)
     if not count.any():
         return []
-    tried = []
-    for rate in (0.001, 0.05, 0.5):
-        tried.append(configurations(count, capacity, rate))
-        if tried[-1][1] <= (1 + gap) * max(b for _, _, b in tried) + 1:
-            break
-    found, _, _ = min(tried, key=lambda x: x[1])
+    found, _, _ = configurations(count, capacity)
     left, bins = count.copy(), []
     for key, times in found.items():
         used = np.frombuffer(key, np.int64)
