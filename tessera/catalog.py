@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import registry
-from tessera.plans import agreement, boards, coverage, files, more, reads, rebuilt, records, resampling, rest, sequence  # noqa: F401  they register their queries
+from tessera.plans import agreement, boards, coverage, files, more, neighbours, reads, rebuilt, records, resampling, rest, sequence  # noqa: F401  they register their queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
