@@ -47,6 +47,22 @@ def sweep(df: DataFrame, keys: list[str], gains: dict[str, Column], s: str = "s"
     return events.select(*keys, F.col("pos").alias("s"), F.lead("pos").over(order).alias("e"), *running).filter("e is not null")
 
 
+def first_holders(df: DataFrame, keys: list[str], order: str, s: str = "s", e: str = "e", width: int = 500) -> DataFrame:
+    """For each key and value of order, the positions that its intervals cover and no interval of a lesser order does.
+
+    Intervals are cut into cells; every stretch between two ends in a cell goes to the least order that covers it, so the work per interval is
+    bounded by the width of a cell, however many intervals lie over each other.
+    """
+    cut = df.filter(F.col(e) > F.col(s)).select(*keys, order, s, e).withColumn("_cell", F.explode(F.sequence(F.floor(F.col(s) / width), F.floor((F.col(e) - 1) / width))))
+    cut = cut.select(*keys, order, "_cell", F.greatest(F.col(s), F.col("_cell") * width).alias("_s"), F.least(F.col(e), (F.col("_cell") + 1) * width).alias("_e"))
+    cut = cut.groupBy(*keys, "_cell", "_s", "_e").agg(F.min(order).alias("_by"))
+    ends = cut.select(*keys, "_cell", F.explode(F.array("_s", "_e")).alias("_at")).distinct()
+    nearest = Window.partitionBy(*keys, "_cell").orderBy("_at")
+    pieces = ends.withColumn("_to", F.lead("_at").over(nearest)).filter("_to is not null")
+    held = cut.join(pieces, [*keys, "_cell"]).filter("_s <= _at and _at < _e").groupBy(*keys, "_cell", "_at", "_to").agg(F.min("_by").alias(order))
+    return held.groupBy(*keys, order).agg(F.sum(F.col("_to") - F.col("_at")).alias("fresh"))
+
+
 def windows_of(length: Column, size: int, step: int) -> Column:
     """Starts of windows of a fixed size and step; the last is anchored to the end, and a short sequence has one."""
     last = F.greatest(length - size, F.lit(0)).cast("long")

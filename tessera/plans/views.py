@@ -26,6 +26,11 @@ SELECT t.sample, l_returnflag AS tool, l_orderkey AS qname, CAST(1000 AS BIGINT)
        CAST(l_quantity AS BIGINT) * 6 AS block_length,
        l_partkey % 61 AS mapq, l_linestatus = 'F' AS is_primary
 FROM lineitem JOIN v_truth t ON l_suppkey = t.sequence_id""",
+    "v_mapped": """
+SELECT *, CASE WHEN qname % 11 = 0 THEN NULL ELSE CASE WHEN qstart % 5 > 0 THEN qstart % 5 || 'S' ELSE '' END || CASE WHEN qname % 3 = 1 THEN part || 'M' ELSE part || '=' || CASE WHEN x > 0 THEN x || 'X' ELSE '' END END
+  || CASE WHEN i > 0 THEN i || 'I' ELSE '' END || CASE WHEN d > 0 THEN d || 'D' ELSE '' END || CASE WHEN qname % 3 = 1 THEN (block_length - part - d) || 'M' ELSE (block_length - part - x - d) || '=' END END AS cg,
+  CASE WHEN qname % 13 <> 0 THEN x + i + d END AS nm
+FROM (SELECT *, CAST(floor(block_length / 3.0) AS BIGINT) AS part, block_length - matches AS x, mapq % 5 AS i, qname % 4 AS d FROM v_aln)""",
     "v_record": "SELECT DISTINCT sample, tool, qname AS record_id, qlen AS length FROM v_aln",
     "v_prob": "SELECT o_orderkey AS record_id, CAST(o_custkey % 101 AS DOUBLE) / 100 AS probability FROM orders",
     "v_bins": "SELECT o_custkey % 30 AS bin_id, o_orderkey AS sequence_id FROM orders WHERE o_orderkey % 5 <> 0",
@@ -131,6 +136,9 @@ WHERE is_primary AND block_length >= 200 AND qlen > 0 AND CAST(matches AS DOUBLE
   AND mapq >= 20 AND CAST(abs(qend - qstart) AS DOUBLE) / qlen >= 0.2"""
 
 
+DUCK_TEXTS["v_mapped_retained"] = DUCK_TEXTS["v_retained"].replace("v_aln", "v_mapped")
+
+
 def islands_text(name: str, source: str, keys: str, s: str = "s", e: str = "e") -> str:
     """CTEs that end in ``name``: the merged intervals (keys, s, e) of source."""
     return f"""
