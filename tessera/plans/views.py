@@ -60,6 +60,21 @@ SELECT t.sample, l_returnflag || l_linestatus AS tool,
        CAST(SUM(l_orderkey) % 7 AS BIGINT) AS correct, CAST(7 AS BIGINT) AS plasmids
 FROM lineitem JOIN v_truth t ON l_suppkey = t.sequence_id
 GROUP BY t.sample, l_returnflag || l_linestatus""",
+    "v_quality": """
+SELECT t.sample, l_returnflag || l_linestatus AS tool, CASE WHEN SUM(l_partkey) % 19 = 0 THEN NULL ELSE CAST(SUM(l_partkey) % 1000 AS DOUBLE) / 1000 END AS f1,
+       CASE WHEN SUM(l_partkey) % 19 = 0 THEN NULL ELSE CAST(SUM(l_suppkey * l_linenumber) % 1000 AS DOUBLE) / 1000 END AS precision, CAST(SUM(l_partkey * l_linenumber) % 1000 AS DOUBLE) / 1000 AS recall,
+       CASE WHEN SUM(l_orderkey) % 5 > 0 THEN CAST(SUM(l_orderkey) % 7 AS DOUBLE) / 7 END AS plasmid_recall, CASE WHEN SUM(l_orderkey) % 4 > 0 THEN CAST(SUM(l_orderkey) % 1000 AS DOUBLE) / 1000 END AS bin_f1, CAST(NULL AS DOUBLE) AS amr_gene_recall,
+       CAST(SUM(l_linenumber) % 3 AS DOUBLE) AS split_events, CAST(SUM(l_linenumber) % 2 AS DOUBLE) / 4 AS merge_events, CAST(SUM(l_suppkey) % 100 AS DOUBLE) / 200 AS contamination_fraction,
+       CAST(SUM(l_quantity) AS DOUBLE) AS ambiguous_bp, CAST(SUM(l_quantity) * 6 AS DOUBLE) AS true_bp, CAST(COUNT(*) % 5 AS DOUBLE) AS excess_records, CAST(COUNT(*) % 9 AS DOUBLE) AS true_count
+FROM lineitem JOIN v_truth t ON l_suppkey = t.sequence_id
+GROUP BY t.sample, l_returnflag || l_linestatus""",
+    "v_isolate": """
+SELECT s.sample, 'species ' || species AS organism, CASE WHEN species % 2 = 0 THEN 'negative' ELSE 'positive' END AS gram_group, CASE WHEN study % 4 = 0 THEN NULL WHEN study % 4 = 1 THEN 'hybrid' ELSE 'long' END AS truth_technology,
+       CASE study % 3 WHEN 0 THEN 'clinical' WHEN 1 THEN 'animal' ELSE 'environment' END AS sample_origin, n_name AS collection_country, CASE WHEN largest IS NULL THEN NULL WHEN largest >= 45000 THEN 'large' WHEN largest >= 35000 THEN 'medium' ELSE 'small' END AS plasmid_size_band,
+       CASE WHEN coalesce(n, 0) > 3 THEN 'many' WHEN coalesce(n, 0) > 0 THEN 'few' ELSE 'none' END AS plasmid_count_band, CASE WHEN depth >= 26 THEN 'deep' ELSE 'shallow' END AS read_depth_band, CASE WHEN genes > 0 THEN 'positive' ELSE 'negative' END AS amr_status,
+       CASE WHEN region < 2 THEN 'short_read' ELSE 'long_read' END AS analysis_track, CASE WHEN s.sample % 3 = 0 THEN 'q20' ELSE 'q30' END AS read_quality_band
+FROM v_sheet s JOIN nation ON n_nationkey = s.sample LEFT JOIN (SELECT sample, max(length) AS largest, count(*) AS n FROM v_truth WHERE molecule_type = 'PLASMID' GROUP BY sample) t ON t.sample = s.sample
+LEFT JOIN (SELECT sample, avg(depth) AS depth FROM v_contig GROUP BY sample) c ON c.sample = s.sample LEFT JOIN (SELECT sample, count(*) AS genes FROM v_gene GROUP BY sample) g ON g.sample = s.sample""",
     "v_status": """
 SELECT t.sample, l_returnflag || l_linestatus AS tool,
        CASE WHEN SUM(l_partkey) % 19 = 0 THEN 'failed' WHEN SUM(l_partkey) % 19 = 1 THEN 'skipped' ELSE 'completed' END AS status,
