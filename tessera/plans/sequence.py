@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import sketches
 from tessera.operators.intervals import windows_of
-from tessera.operators.kmers import kmer_counts
+from tessera.operators.kmers import kmer_counts, repeat_content
 from tessera.operators.ranking import weighted_quantile
 from tessera.plans.coverage import r6
 from tessera.plans.registry import query
@@ -41,6 +41,22 @@ def l02(v: Views) -> DataFrame:
     return rows.groupBy("id").agg(F.sum("n").alias("kmers"), F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("repeated"), F.sum(F.when(F.col("docs") > 1, F.col("n")).otherwise(0)).alias("shared"))
 
 
+_KINDS = "SELECT id, source AS sample, CASE WHEN id % 7 = 0 THEN 'CHROMOSOME' ELSE 'PLASMID' END AS molecule_type, sequence FROM v_seq"
+
+
+@query("l02_repeat_shares", """
+SELECT s.sample, s.id, coalesce(n, 0) AS n_kmers, round(inside / n, 6) AS internal_repeat_fraction, CASE WHEN NOT chromosome AND has_chromosome THEN round(with_chromosome / n, 6) END AS chromosome_shared_fraction,
+  CASE WHEN NOT chromosome THEN round(with_plasmids / n, 6) END AS shared_with_other_plasmids_fraction, CASE WHEN n > 0 THEN inside / n >= 0.05 OR NOT chromosome AND has_chromosome AND with_chromosome / n >= 0.05 END AS repeat_rich,
+  CASE WHEN coalesce(n, 0) = 0 THEN 'too_short' WHEN has_chromosome THEN 'ok' ELSE 'no_chromosome' END AS status
+FROM (SELECT sample, id, molecule_type = 'CHROMOSOME' AS chromosome, bool_or(molecule_type = 'CHROMOSOME') OVER (PARTITION BY sample) AS has_chromosome FROM kinds) s LEFT JOIN (
+SELECT id, sum(n)::BIGINT AS n, sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS inside, sum(CASE WHEN c THEN n ELSE 0 END) AS with_chromosome, sum(CASE WHEN p > 1 THEN n ELSE 0 END) AS with_plasmids FROM (
+SELECT km.id, count(*) AS n, bool_or(any_value(molecule_type) = 'CHROMOSOME') OVER same AS c, sum(CASE WHEN any_value(molecule_type) = 'PLASMID' THEN 1 ELSE 0 END) OVER same AS p FROM km JOIN kinds USING (id) GROUP BY km.id, sample, kmer WINDOW same AS (PARTITION BY sample, kmer)) GROUP BY id) c USING (id)""", SMALL + f", kinds AS ({_KINDS})")
+def l02_shares(v: Views) -> DataFrame:
+    """Shares of each sequence's k-mers, sources being samples; every seventh text stands for a chromosome."""
+    rows = repeat_content(v.sql(_KINDS), K)
+    return r6(rows, "internal_repeat_fraction", "chromosome_shared_fraction", "shared_with_other_plasmids_fraction")
+
+
 def sampled(v: Views) -> DataFrame:
     return kmer_counts(v.v_seq, K, "id").filter(F.pmod(F.xxhash64("kmer"), F.lit(50)) == 0).select("id", "kmer")
 
