@@ -71,10 +71,14 @@ def distance(x: Column, y: Column, penalty: float = 1.0) -> Column:
     return F.when(F.size(square) >= 2, F.sqrt(total / (F.size(square) + one_sided)))
 
 
-def nearest(queries: DataFrame, rows: DataFrame, k: int, penalty: float = 1.0) -> DataFrame:
-    """query, id, place, distance: the k rows nearest to each query, itself (the same id) left out, equal distances by id. Both sides have id and z."""
-    distinct = rows.select("id", "z").withColumn("nth", F.row_number().over(Window.partitionBy("z").orderBy("id"))).filter(F.col("nth") <= k + 1)
-    distinct = distinct.groupBy("z").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("had", had(F.col("z")))
+def nearest(queries: DataFrame, rows: DataFrame, k: int, penalty: float = 1.0, within: str | None = None) -> DataFrame:
+    """query, id, place, distance: the k rows nearest to each query, itself (the same id) left out, equal distances by id. Both sides have id and z.
+
+    within names a column of both sides: only rows of a query's own group count, and a query (id and group) has its k rows there; the column comes out too.
+    """
+    group = F.col(within) if within else F.lit(0)
+    distinct = rows.select("id", "z", group.alias("w")).withColumn("nth", F.row_number().over(Window.partitionBy("z", "w").orderBy("id"))).filter(F.col("nth") <= k + 1)
+    distinct = distinct.groupBy("z", "w").agg(F.array_sort(F.collect_list("id")).alias("ids")).withColumn("had", had(F.col("z")))
     distinct = cut(distinct)
     shape = distinct.agg(F.count("*").alias("n"), F.max(F.size("z")).alias("d"), *(F.count(F.get("z", F.lit(i))).alias(f"c{i}") for i in range(64))).first()
     dims = sorted(range(shape["d"] or 0), key=lambda i: (-shape[f"c{i}"], i))[:2]
@@ -97,22 +101,22 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, penalty: float = 1.0) -
         return [bin_of(F.get(z, F.lit(i)), i).alias(f"g{n}") for n, i in enumerate(dims)]
 
     grid = [f"g{n}" for n in range(len(dims))]
-    index = cut(distinct.select("z", "ids", "had", *cell(F.col("z"))))
+    index = cut(distinct.select("z", "w", "ids", "had", *cell(F.col("z"))))
     low, high = (F.array(*(f(F.get("z", F.lit(i))) for i in range(shape["d"] or 0))) for f in (F.min, F.max))
-    boxes = index.groupBy("had", *grid).agg(low.alias("low"), high.alias("high"))
-    asked = cut(queries.select(F.col("id").alias("query"), F.col("z").alias("q"), had(F.col("z")).alias("q_had"), *(c.alias(f"q{n}") for n, c in enumerate(cell(F.col("z"))))))
+    boxes = index.groupBy("w", "had", *grid).agg(low.alias("low"), high.alias("high"))
+    asked = cut(queries.select(F.col("id").alias("query"), group.alias("w"), F.col("z").alias("q"), had(F.col("z")).alias("q_had"), *(c.alias(f"q{n}") for n, c in enumerate(cell(F.col("z"))))))
 
     def measured(pairs: DataFrame) -> DataFrame:
         near = pairs.withColumn("distance", distance(F.col("q"), F.col("z"), penalty)).filter("distance is not null")
-        near = near.select("query", F.explode("ids").alias("id"), "distance").filter("id <> query")
-        place = F.row_number().over(Window.partitionBy("query").orderBy(F.round("distance", 9), "id"))
+        near = near.select("query", "w", F.explode("ids").alias("id"), "distance").filter("id <> query")
+        place = F.row_number().over(Window.partitionBy("query", "w").orderBy(F.round("distance", 9), "id"))
         return near.withColumn("place", place).filter(F.col("place") <= k)
 
-    own = asked.join(index, [F.col("q_had") == F.col("had"), *(F.col(f"q{n}") == F.col(f"g{n}") for n in range(len(dims)))])
-    reach = measured(own).groupBy("query").agg(F.max("place").alias("n"), F.max("distance").alias("d")).filter(F.col("n") >= k).select("query", F.col("d").alias("reach"))
+    own = asked.join(index.withColumnsRenamed({"had": "q_had"} | {f"g{n}": f"q{n}" for n in range(len(dims))}), ["w", "q_had", *(f"q{n}" for n in range(len(dims)))])
+    reach = measured(own).groupBy("query", "w").agg(F.max("place").alias("n"), F.max("distance").alias("d")).filter(F.col("n") >= k).select("query", "w", F.col("d").alias("reach"))
     kinds = index.select("had").distinct()  # two to the number of features at most
     both, apart = F.bit_count(F.col("q_had").bitwiseAND(F.col("had"))), F.bit_count(F.col("q_had").bitwiseXOR(F.col("had"))) if penalty else F.lit(0)
-    around = asked.join(reach, "query", "left").withColumn("kind", F.explode(F.array(*(F.lit(r["had"]) for r in kinds.collect())) if shape["n"] else F.array().cast("array<bigint>")))
+    around = asked.join(reach, ["query", "w"], "left").withColumn("kind", F.explode(F.array(*(F.lit(r["had"]) for r in kinds.collect())) if shape["n"] else F.array().cast("array<bigint>")))
     around = around.withColumnRenamed("kind", "had").filter(both >= 2).withColumn("room", F.pow(F.col("reach") + 1e-9, 2) * (both + apart) - apart * F.lit(float(penalty) ** 2))
     around = around.filter("room is null or room >= 0")
     for n, i in enumerate(dims):
@@ -122,8 +126,8 @@ def nearest(queries: DataFrame, rows: DataFrame, k: int, penalty: float = 1.0) -
         around = around.withColumn(f"g{n}", F.explode(F.when(~bit, F.array(F.lit(-1))).when(x.isNull() | F.col("room").isNull(), full).otherwise(close)))
     gap = F.zip_with("q", F.zip_with("low", "high", lambda a, b: F.struct(a.alias("a"), b.alias("b"))), lambda x, b: F.pow(F.greatest(b["a"] - x, x - b["b"], F.lit(0.0)) * F.when(x.isNull() | b["a"].isNull(), None).otherwise(1.0), 2))
     least = F.aggregate(F.filter(gap, lambda x: x.isNotNull()), F.lit(0.0), lambda s, x: s + x)
-    blocks = around.join(boxes, ["had", *grid]).filter(F.col("room").isNull() | (least <= F.col("room") + 1e-9)).select("query", "q", "had", *grid)
-    return measured(blocks.join(index, ["had", *grid])).select("query", "id", F.col("place").cast("int").alias("place"), "distance")
+    blocks = around.join(boxes, ["w", "had", *grid]).filter(F.col("room").isNull() | (least <= F.col("room") + 1e-9)).select("query", "w", "q", "had", *grid)
+    return measured(blocks.join(index, ["w", "had", *grid])).select("query", *([F.col("w").alias(within)] if within else []), "id", F.col("place").cast("int").alias("place"), "distance")
 
 
 def range_threshold(rows: DataFrame, penalty: float = 1.0, q: float = 0.95, least: int = 5) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators import neighbours
+from tessera.operators import neighbour_arm, neighbours
+from tessera.plans.boards import values
 from tessera.plans.registry import query
 from tessera.plans.views import Views
 
@@ -49,3 +50,15 @@ def c14(v: Views) -> DataFrame:
 @query("c15_range_threshold", "SELECT round(quantile_cont(distance, 0.95), 6) AS threshold FROM ranked WHERE place = 1", _CTES.format(asked=""))
 def c15(v: Views) -> DataFrame:
     return neighbours.range_threshold(customers(v)).select(F.round("threshold", 6).alias("threshold"))
+
+
+_SAMPLES = """
+SELECT s.sample, study, CAST(species AS STRING) AS species, CAST(species % 2 AS STRING) AS genus, CASE WHEN region < 4 THEN CAST(region % 2 AS STRING) END AS gram_group, t.n_truth, t.mean_length, c.depth, g.n_genes FROM v_sheet s
+LEFT JOIN (SELECT sample, CAST(count(*) AS DOUBLE) AS n_truth, avg(length) AS mean_length FROM v_truth GROUP BY sample) t ON t.sample = s.sample LEFT JOIN (SELECT sample, avg(depth) AS depth FROM v_contig GROUP BY sample) c ON c.sample = s.sample
+LEFT JOIN (SELECT sample, CAST(count(*) AS DOUBLE) AS n_genes FROM v_gene GROUP BY sample) g ON g.sample = s.sample"""
+
+
+@query("m04_feature_arm")
+def m04(v: Views) -> DataFrame:
+    """Each sample's tool by its neighbours of other studies: species, genus, group, any, or the single best; samples without genes or truth lack features."""
+    return neighbour_arm.feature_arm(values(v), v.sql(_SAMPLES), ["n_truth", "mean_length", "depth", "n_genes"])
