@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.plans import registry
-from tessera.plans import agreement, boards, candidates, coverage, files, more, neighbours, order, reads, rebuilt, recommend, references, records, resampling, rest, sequence, strata, streams  # noqa: F401  they register their queries
+from tessera.plans import agreement, boards, candidates, coverage, files, more, neighbours, order, reads, rebuilt, recommend, references, records, resampling, rest, sequence, strata, streams, variants  # noqa: F401  they register their queries
 
 Query = Callable[[SparkSession, str], DataFrame]
 
