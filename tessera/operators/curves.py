@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.running import running_sums
+
 
 def best_cover(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """Elementary segments (s, e) of each key's intervals with the greatest value among those that cover them.
@@ -58,8 +60,7 @@ def summed_states(curve: DataFrame, thresholds: DataFrame, keys: list[str], colu
     steps = curve.select(F.col("probability").alias("t"), *((F.col(c) - F.coalesce(F.lag(c).over(along), F.lit(0))).alias(c) for c in columns))
     marks = thresholds.select("t", *(F.lit(0).alias(c) for c in columns), F.lit(True).alias("asked"))
     sums = steps.withColumn("asked", F.lit(False)).union(marks).groupBy("t").agg(*(F.sum(c).alias(c) for c in columns), F.bool_or("asked").alias("asked"))
-    down = Window.orderBy(F.desc("t")).rowsBetween(Window.unboundedPreceding, 0)  # a row for each threshold that occurs
-    return sums.select("t", "asked", *(F.sum(c).over(down).alias(c) for c in columns)).filter("asked").drop("asked")
+    return running_sums(sums, "t", columns, descending=True).filter("asked").drop("asked")
 
 
 def states(curve: DataFrame, thresholds: DataFrame, keys: list[str]) -> DataFrame:

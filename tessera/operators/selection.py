@@ -6,19 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.lineage import cut
+from tessera.operators.running import running_sums
 
 
 def balanced_order(df: DataFrame, group: str, arm: str, study: str, tie: str) -> DataFrame:
     """df with turn and place: groups take turns; in a group no study comes twice before each has come once, and arms alternate, least first.
 
-    place counts all rows from 1. Rows are ranked inside their group and inside their turn; only the few counts of turns are summed up in one place.
+    place counts all rows from 1. Rows are ranked inside their group and inside their turn; the counts of turns are summed up by range.
     """
     of_study = F.row_number().over(Window.partitionBy(group, study).orderBy(arm, tie))
     rows = df.withColumn("_s", of_study)
     rows = rows.withColumn("_a", F.row_number().over(Window.partitionBy(group, "_s", arm).orderBy(study, tie)))
     rows = rows.withColumn("turn", F.row_number().over(Window.partitionBy(group).orderBy("_s", "_a", arm, study, tie)))
     turns = rows.groupBy("turn").agg(F.count("*").alias("n"))
-    before = turns.select(F.col("turn").alias("turn"), F.coalesce(F.sum("n").over(Window.orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    before = running_sums(turns.withColumn("own", F.col("n")), "turn", ["n"]).select("turn", (F.col("n") - F.col("own")).alias("_before"))
     inside = F.row_number().over(Window.partitionBy("turn").orderBy(group))
     return rows.join(before, "turn").withColumn("place", F.col("_before") + inside).drop("_s", "_a", "_before")
 
