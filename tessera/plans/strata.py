@@ -25,7 +25,9 @@ def j04(v: Views) -> DataFrame:
 
 @query("j06_stratified_bootstrap_t")
 def j06(v: Views) -> DataFrame:
-    return stratified.bootstrap(values(v).join(v.v_sheet, "sample"), ["tool"], "study", "species", "value", True)
+    """By Gram group, as a stratum needs two studies."""
+    rows = values(v).join(v.v_sheet.select("sample", "study"), "sample").join(v.v_isolate.select("sample", "gram_group"), "sample")
+    return stratified.bootstrap(rows, ["tool"], "study", "gram_group", "value", True)
 
 
 @query("j07_interval_by_rule")
