@@ -51,3 +51,12 @@ def test_threshold_needs_five(spark):
     assert neighbours.range_threshold(df).first()["threshold"] is None
     df = spark.createDataFrame([(i, [float(i * i), 0.0]) for i in range(6)], "id long, z array<double>")
     assert math.isclose(neighbours.range_threshold(df, q=1.0).first()["threshold"], 9 / math.sqrt(2))
+
+
+def test_only_near_rows_leave_a_block(spark, monkeypatch):
+    """Pairs are measured in their block; before, each pair of a query and a visited row was a row of a join."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 8)
+    draw = random.Random(5)
+    df = spark.createDataFrame([(i, [draw.random() for _ in range(4)]) for i in range(400)], "id long, z array<double>")
+    plan = neighbours.nearest(df, df, 2)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan.split("FlatMapCoGroupsInArrow")[0]
