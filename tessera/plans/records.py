@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.operators import selection
+from tessera.operators import cosine, selection
 from tessera.plans.coverage import r6
 from tessera.plans.registry import query
 from tessera.plans.views import Views
@@ -175,17 +175,11 @@ def c21(v: Views) -> DataFrame:
 
 @query("c14_nearest_neighbours")
 def c14(v: Views) -> DataFrame:
-    """The five nearest of all rows for each query row (ids divisible by 20) by cosine, in blocks of query rows."""
+    """The five nearest of all rows for each query row (ids divisible by 20) by cosine, by pairs of blocks."""
     e = v.embeddings
     key, vec = [c for c, t in e.dtypes if t in ("bigint", "int")][0], [c for c, t in e.dtypes if t.startswith("array")][0]
-    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: (x * y).cast("double")), F.lit(0.0), lambda s, x: s + x)
-    rows = e.select(F.col(key).alias("id"), F.col(vec).alias("x")).filter("x is not null").withColumn("norm", F.sqrt(dot(F.col("x"), F.col("x"))))
-    asked = rows.filter("id % 20 = 0").select(F.col("id").alias("query"), F.col("x").alias("q"), F.col("norm").alias("q_norm"))
-    blocks = asked.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(16)))
-    spread = rows.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(15).cast("long"))))
-    near = spread.join(blocks, "block").filter("id <> query").select("query", "id", (dot(F.col("x"), F.col("q")) / (F.col("norm") * F.col("q_norm"))).alias("cosine"))
-    w = Window.partitionBy("query").orderBy(F.desc("cosine"), "id")
-    return near.withColumn("place", F.row_number().over(w)).filter("place <= 5").select("query", "id", "place", F.round("cosine", 6).alias("cosine"))
+    near = cosine.nearest(e.select(F.col(key).alias("id"), F.col(vec).alias("x")), "id % 20 = 0", 5)
+    return near.withColumn("cosine", F.round("cosine", 6))
 
 
 @query("c17_nearest_reference", "SELECT c_custkey, CAST(n_nationkey AS BIGINT) AS best, gap, rival - gap < 2 AS ambiguous FROM (SELECT c_custkey, n_nationkey, gap, lead(gap) OVER (PARTITION BY c_custkey ORDER BY gap, n_nationkey) AS rival, row_number() OVER (PARTITION BY c_custkey ORDER BY gap, n_nationkey) AS k FROM (SELECT c_custkey, n_nationkey, abs(c_custkey % 97 - n_nationkey * 4) AS gap FROM customer, nation)) WHERE k = 1")
