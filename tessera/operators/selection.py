@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import operator
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,17 +31,25 @@ def dual_cap(df: DataFrame, first: str, second: str, order: list[str], first_cap
     """The rows that are kept if all are taken in order, each kept while both its keys have fewer kept rows than their caps.
 
     Rounds decide at once every row that no open one before it can change: it is dropped if kept rows fill a cap before it, and kept if
-    even all open rows before it would leave room. The first open row of all is always one of these. order ends in a unique column.
+    even all open rows before it would leave room. The first open row of all is always one of these. Open rows alone go on to the next
+    round, with the number of kept rows before them. order ends in a unique column.
     """
-    rows = cut(df.withColumn("_kept", F.lit(None).cast("boolean")))
-    while rows.filter("_kept is null").limit(1).count():
-        sides = []
-        for key, cap in ((first, first_cap), (second, second_cap)):
+    rows = df.withColumns({"_n1": F.lit(0).cast("long"), "_n2": F.lit(0).cast("long")})
+    found = []
+    while True:
+        sides = (("_n1", first, first_cap), ("_n2", second, second_cap))
+        for n, key, _ in sides:
+            rows = rows.withColumn(f"{n}_open", F.row_number().over(Window.partitionBy(key).orderBy(*order)) - 1)
+        full = functools.reduce(operator.or_, (F.col(n) >= cap for n, _, cap in sides))
+        free = functools.reduce(operator.and_, (F.col(n) + F.col(f"{n}_open") < cap for n, _, cap in sides))
+        rows = rows.withColumn("_kept", F.when(full, False).when(free, True)).drop("_n1_open", "_n2_open")
+        for n, key, _ in sides:
             ahead = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-            kept = F.coalesce(F.count_if(F.col("_kept")).over(ahead), F.lit(0))
-            open_ = F.coalesce(F.count_if(F.col("_kept").isNull()).over(ahead), F.lit(0))
-            sides.append((kept >= cap, kept + open_ < cap))
-        (full_a, free_a), (full_b, free_b) = sides
-        marked = rows.withColumn("_full", full_a | full_b).withColumn("_free", free_a & free_b)
-        rows = cut(marked.withColumn("_kept", F.coalesce("_kept", F.when(F.col("_full"), False).when(F.col("_free"), True))).drop("_full", "_free"))
-    return rows.filter("_kept").drop("_kept")
+            rows = rows.withColumn(n, F.col(n) + F.coalesce(F.count_if(F.coalesce("_kept", F.lit(False))).over(ahead), F.lit(0)))
+        rows = cut(rows.filter("_kept is null or _kept"))
+        found.append(rows.filter("_kept").select(*df.columns))
+        if len(found) == 20:  # a long chain of rounds is one table again
+            found = [cut(functools.reduce(DataFrame.union, found).coalesce(8))]
+        rows = rows.filter("_kept is null").drop("_kept")
+        if not rows.limit(1).count():
+            return functools.reduce(DataFrame.union, found)

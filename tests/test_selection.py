@@ -79,3 +79,18 @@ def test_gap(spark):
     out = {r.k: r for r in stats.bootstrap_gap(spark.createDataFrame(rows, "k string, c long, v double, known boolean"), ["k"], "c", "v", "known", draws=300).collect()}
     assert {k: r.status for k, r in out.items()} == {"clear": "gap supported", "none": "no clear gap", "few": "too few studies"}
     assert abs(out["clear"].gap - 0.435) < 1e-9 and out["clear"].low < 0.435 < out["clear"].high and out["few"].low is None
+
+
+def test_open_rows_alone_go_on(spark, monkeypatch):
+    """What a round writes gets smaller; before, each round wrote all rows again."""
+    sizes = []
+    kept = selection.cut
+
+    def counted(df):
+        sizes.append((out := kept(df)).count())
+        return out
+
+    monkeypatch.setattr(selection, "cut", counted)
+    frame = spark.createDataFrame([(i, i % 7, (i * 5) % 11) for i in range(200)], "id long, p long, q long")
+    selection.dual_cap(frame, "p", "q", ["p", "q", "id"], 2, 2).count()
+    assert sizes == sorted(sizes, reverse=True) and sizes[-1] < sizes[0] == 200
