@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.lineage import cut
+from tessera.operators.lineage import cut, ship
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None, rounds: int = 100) -> DataFrame:
@@ -68,7 +68,8 @@ def best_matching(edges: DataFrame, keys: list[str]) -> DataFrame:
     Lonely components of one edge need no solver; the rest are solved component by component, so a task holds one
     component at a time. left and right are longs.
     """
-    edges = edges.filter("weight > 0")
+    ship(edges.sparkSession)
+    edges = cut(edges.filter("weight > 0"))
     node = F.xxhash64(*keys, F.lit(0), "left").alias("a"), F.xxhash64(*keys, F.lit(1), "right").alias("b")
     labelled = edges.select("*", *node)
     parts = connected_components(labelled.select("a", "b"))

@@ -21,8 +21,11 @@ def islands(df: DataFrame, keys: list[str], s: str = "s", e: str = "e", width: i
 
 
 def union_bp(df: DataFrame, keys: list[str], s: str = "s", e: str = "e", name: str = "bp") -> DataFrame:
-    """Positions that the union of a key's intervals covers."""
-    return islands(df, keys, s, e).groupBy(*keys).agg(F.sum(F.col("e") - F.col("s")).alias(name))
+    """Positions that the union of a key's intervals covers: in order of start, each adds what lies beyond all before it."""
+    reach = F.max(e).over(Window.partitionBy(*keys).orderBy(s, e).rowsBetween(Window.unboundedPreceding, -1))
+    marked = df.select(*keys, F.col(s).alias("s"), F.col(e).alias("e"), reach.alias("_reach"))
+    own = F.when(F.col("s") <= F.col("_reach"), F.greatest(F.col("e") - F.col("_reach"), F.lit(0))).otherwise(F.col("e") - F.col("s"))
+    return marked.select(*keys, own.alias("_own")).groupBy(*keys).agg(F.sum("_own").alias(name))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], width: int = 2000) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import reconstruction as rec
 from tessera.operators.intervals import union_bp
+from tessera.operators.lineage import cut
 from tessera.plans.agreement import BINNED
 from tessera.plans.coverage import r6
 from tessera.plans.registry import query
@@ -44,12 +45,12 @@ class Parts:
     def __init__(self, v: Views) -> None:
         truth = v.v_truth.select(F.col("sequence_id").alias("ref"), "length", "molecule_type")
         joined = v.retained.join(v.v_bins, F.col("qname") == F.col("sequence_id")).drop("sequence_id").withColumnRenamed("bin_id", "bin").withColumnRenamed("tname", "ref").join(truth, "ref")
-        table = union_bp(joined, [*RUN, "bin", "ref", "molecule_type"])
+        table = cut(union_bp(joined, [*RUN, "bin", "ref", "molecule_type"]))  # read several times, and far smaller than the alignments
         runs = v.v_record.select(*RUN).distinct()
         self.overlaps = table.filter("molecule_type = 'PLASMID'").select(*RUN, "bin", "ref", "bp")
         self.chromosome = table.filter("molecule_type = 'CHROMOSOME'").groupBy(*RUN, "bin").agg(F.sum("bp").alias("bp"))
         self.plasmids = runs.join(v.v_truth.filter("molecule_type = 'PLASMID'"), "sample").select(*RUN, F.col("sequence_id").alias("ref"), "length")
-        self.bins = v.v_record.join(v.v_bins, F.col("record_id") == F.col("sequence_id")).select(*RUN, F.col("bin_id").alias("bin")).distinct()
+        self.bins = cut(v.v_aln.join(v.v_bins, F.col("qname") == F.col("sequence_id")).select(*RUN, F.col("bin_id").alias("bin")).distinct())
         self.identities = joined.groupBy(*RUN, "bin", "ref").agg(F.sum("matches").alias("matches"), F.sum("block_length").alias("block_length"))
 
 
