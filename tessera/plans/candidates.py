@@ -38,8 +38,9 @@ whole AS (SELECT sample, tool, tname, sum(e - s) AS bp FROM all_of GROUP BY ALL)
 runs AS (SELECT DISTINCT sample, tool FROM v_record)"""
 
 
-def found(v: Views) -> DataFrame:
-    return multiplicity.candidates(v.retained, v.v_record, v.v_truth, least_bp=LEAST_BP)
+def found(v: Views, unmapped: bool = True) -> DataFrame:
+    records = v.v_aln.select("sample", "tool", F.col("qname").alias("record_id"), F.col("qlen").alias("length")).repartition("sample", "tool", "record_id").distinct()  # v_record, dealt as its joins want it
+    return multiplicity.candidates(v.retained, records, v.v_truth, least_bp=LEAST_BP, unmapped=unmapped)
 
 
 @query("d26_candidate_kinds", "SELECT sample, tool, candidate, aligned_bp, home, home_bp, plasmid_bp, chromosome_bp, relationship, CASE WHEN is_member THEN fresh ELSE 0 END AS new_bp_on_home FROM kinds", _CTES)
@@ -54,7 +55,7 @@ SELECT r.sample, r.tool, t.sequence_id AS plasmid, CASE WHEN n_touching IS NULL
   CAST(coalesce(all_own, 0) - coalesce(w.bp, 0) AS BIGINT) AS redundant_bp, round(coalesce((all_own - w.bp) / all_own, 0), 6) AS redundancy_fraction, coalesce(n_fragments, 0) AS n_fragments, coalesce(n_redundant, 0) AS n_redundant, coalesce(n_chimeric, 0) AS n_chimeric_touching
 FROM runs r JOIN v_truth t ON t.sample = r.sample AND t.molecule_type = 'PLASMID' LEFT JOIN each e ON e.sample = r.sample AND e.tool = r.tool AND e.tname = t.sequence_id LEFT JOIN whole w ON w.sample = r.sample AND w.tool = r.tool AND w.tname = t.sequence_id""", _CTES + _TOUCH)
 def d26_plasmids(v: Views) -> DataFrame:
-    rows = multiplicity.plasmids(v.retained, found(v), v.v_truth)
+    rows = multiplicity.plasmids(v.retained, found(v, unmapped=False), v.v_truth, v.v_record)
     return r6(rows, "best_candidate_coverage", "combined_coverage", "coverage_gain", "redundancy_fraction")
 
 

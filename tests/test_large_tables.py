@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tessera.operators import graph, intervals
+from tessera.operators import graph, intervals, multiplicity
 from tessera.plans import rebuilt
 from tessera.plans.views import Views
 
@@ -31,3 +31,17 @@ def test_matching_ships_its_helper(spark, monkeypatch):
     monkeypatch.setattr(graph, "ship", sent.append, raising=False)
     graph.best_matching(spark.createDataFrame([("k", 1, 2, 3.0)], "k string, left long, right long, weight double"), ["k"])
     assert sent == [spark]
+
+
+def test_records_are_joined_once(spark):
+    """Records of no alignment, most of them, meet the aligned ones once and nothing else."""
+    aligned = spark.createDataFrame([(1, "t", "a", "P", 0, 900), (1, "t", "b", "P", 100, 900), (1, "t", "b", "C", 0, 300)], "sample long, tool string, qname string, tname string, s long, e long")
+    truth = spark.createDataFrame([(1, "P", "PLASMID", 1000), (1, "C", "CHROMOSOME", 5000)], "sample long, sequence_id string, molecule_type string, length long")
+    records = spark.createDataFrame([(1, "t", q, 1000) for q in "abxyz"] + [(2, "t", "x", 10)], "sample long, tool string, record_id string, length long")
+    found = multiplicity.candidates(aligned, records, truth, least_bp=100)
+    assert {(r.sample, r.candidate): r.relationship for r in found.collect()} == {(1, "a"): "primary", (1, "b"): "chimeric", (1, "x"): "unmapped", (1, "y"): "unmapped", (1, "z"): "unmapped", (2, "x"): "unmapped"}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+    few = multiplicity.candidates(aligned, records, truth, least_bp=100, unmapped=False)
+    assert {r.candidate for r in few.collect()} == {"a", "b"} and "record_id" not in few._jdf.queryExecution().optimizedPlan().toString()
+    rows = {r.plasmid: (r.tool, r.n_touching, r.sample) for r in multiplicity.plasmids(aligned, few, truth, records).collect()}
+    assert rows == {"P": ("t", 2, 1)}
