@@ -9,7 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -20,17 +22,24 @@ from tessera.operators.lineage import shared_folder, ship
 RUN_STATE = "user_id long, event_id long, event_type string, events long, stale boolean"
 
 
-def replayed(events: DataFrame, slices: int = 4) -> tuple[str, StructType]:
-    """Write events in slices of time, one after the other, as a log would grow; the folder and the schema."""
-    folder = f"{shared_folder(events.sparkSession)}/log-{uuid.uuid4().hex}"
+def replayed(events: DataFrame, slices: int = 4, slice_rows: int = 1 << 22) -> tuple[str, StructType]:
+    """Write events in slices of time, one after the other, as a log would grow; the folder and the schema.
+
+    Slices, at least so many, are one file each of some slice_rows at most. Rows are dealt to them in one pass over the events.
+    """
+    root = f"{shared_folder(events.sparkSession)}/log-{uuid.uuid4().hex}"
+    folder = f"{root}/log"
     rows = events.withColumn("at", F.unix_micros(F.col("ts").cast("timestamp")))
-    bounds = rows.agg(F.percentile_approx("at", [k / slices for k in range(1, slices)], 1000).alias("b")).first()["b"] or []
+    slices = max(slices, -(-events.count() // slice_rows))
+    bounds = rows.agg(F.percentile_approx("at", [k / slices for k in range(1, slices)], 1000 * slices).alias("b")).first()["b"] or []
     rows = rows.withColumn("at", F.timestamp_micros("at"))
     part = F.array_position(F.array_sort(F.array_append(F.lit(bounds).cast("array<bigint>"), F.unix_micros("at"))), F.unix_micros("at")) if bounds else F.lit(1)
-    rows = rows.withColumn("part", part)
+    rows = rows.withColumn("part", part).drop("ts")
+    rows.write.partitionBy("part").parquet(f"{root}/dealt")
+    dealt = events.sparkSession.read.schema(rows.schema).parquet(f"{root}/dealt")
     for k in range(1, len(bounds) + 2):
-        rows.filter(F.col("part") == k).drop("part", "ts").coalesce(1).write.mode("append").parquet(folder)
-    return folder, rows.drop("part", "ts").schema
+        dealt.filter(F.col("part") == k).drop("part").coalesce(1).write.mode("append").parquet(folder)
+    return folder, rows.drop("part").schema
 
 
 def opened(spark: SparkSession, folder: str, schema: StructType, files: int = 1) -> DataFrame:
@@ -38,29 +47,50 @@ def opened(spark: SparkSession, folder: str, schema: StructType, files: int = 1)
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
-def tracked(stream: DataFrame, seconds: int = 90, ended: tuple[str, ...] = (), late: str = "1 second") -> DataFrame:
+def tracked(stream: DataFrame, seconds: int = 90, ended: tuple[str, ...] = (), late: str = "1 second", buckets: int = 256) -> DataFrame:
     """A row for each change of a run: its newest event, how many it had, and whether it is stale.
 
     A run is stale once the watermark is seconds past its newest event, unless that ends it: a timer says so, without any further event of the run.
+    Runs share a state and a timer, the earliest due, by bucket, so that a call is not for one run alone; buckets belong to the checkpoint.
     """
     ship(stream.sparkSession)
+    never, nobody = (1 << 63) - 1, F.lit(-(1 << 63))  # a missing id is a number inside
 
     def change(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        at, event_id, event_type, events = state.get if state.exists else (-(1 << 62), -1, "", 0)
-        stale = state.hasTimedOut
-        if not stale:
-            for p in parts:
-                events += len(p)
-                newest = p.sort_values(["us", "event_id"]).iloc[-1]
-                if (newest.us, newest.event_id) > (at, event_id):
-                    at, event_id, event_type = int(newest.us), int(newest.event_id), str(newest.event_type)
-            if event_type not in ended:
-                state.setTimeoutTimestamp(max(at // 1000 + 1000 * seconds, state.getCurrentWatermarkMs() + 1))
-            state.update((at, event_id, event_type, events))
-        yield pd.DataFrame([(key[0], event_id, event_type, events, stale)], columns=["user_id", "event_id", "event_type", "events", "stale"])
-
-    rows = stream.withColumn("us", F.unix_micros("at")).withWatermark("at", late)
-    return rows.groupBy("user_id").applyInPandasWithState(change, RUN_STATE, "us long, event_id long, event_type string, events long", "update", GroupStateTimeout.EventTimeTimeout)
+        now = state.getCurrentWatermarkMs()
+        runs = pa.ipc.open_stream(state.get[0]).read_all().to_pandas() if state.exists else None
+        if not state.hasTimedOut:
+            fresh = pd.concat(list(parts))[["user_id", "us", "event_id", "event_type"]].assign(events=1, due=0, touched=True)
+            both = fresh if runs is None else pd.concat([fresh, runs.assign(touched=False)])
+            both = both.sort_values(["user_id", "us", "event_id"], kind="stable")
+            group = both.groupby("user_id", sort=False)
+            sums = group[["events", "touched"]].sum()
+            runs = both.drop_duplicates("user_id", keep="last").set_index("user_id")
+            touched = (sums["touched"] > 0).reindex(runs.index)
+            runs["events"] = sums["events"].reindex(runs.index)
+            due = np.where(runs["event_type"].isin(ended), never, np.maximum(runs["us"] // 1000 + 1000 * seconds, now + 1))
+            before = group["due"].max().reindex(runs.index)
+            runs["due"] = np.where(touched, due, before)
+            runs = runs.drop(columns="touched").reset_index()
+            touched = touched.to_numpy()
+        else:
+            touched = np.zeros(len(runs), bool)
+        stale = runs["due"].to_numpy() < now
+        out = runs[touched | stale].assign(stale=stale[touched | stale])
+        runs.loc[stale, "due"] = never
+        sink = pa.BufferOutputStream()
+        table = pa.Table.from_pandas(runs[["user_id", "us", "event_id", "event_type", "events", "due"]], preserve_index=False)
+        with pa.ipc.new_stream(sink, table.schema) as writer:
+            writer.write_table(table)
+        state.update((sink.getvalue().to_pybytes(),))
+        first = int(runs["due"].min())
+        if first < never:
+            state.setTimeoutTimestamp(max(first, now + 1))
+        yield out[["user_id", "event_id", "event_type", "events", "stale"]]
+
+    rows = stream.withColumn("us", F.unix_micros("at")).withWatermark("at", late).withColumn("user_id", F.coalesce(F.col("user_id").cast("long"), nobody))
+    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("user_id"), F.lit(buckets))).groupBy("bucket")
+    return rows.applyInPandasWithState(change, RUN_STATE, "runs binary", "update", GroupStateTimeout.EventTimeTimeout).withColumn("user_id", F.nullif("user_id", nobody))
 
 
 def to_parts(stream: DataFrame, path: str, checkpoint: str, mode: str = "update", shape=lambda batch: batch):

@@ -1,8 +1,10 @@
 """Streams of a run log: a batch that fails after its write is replayed without effect, and timers flag silent runs without further events."""
 
 import datetime
+import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.streaming import state
 
@@ -55,3 +57,20 @@ def test_board_adds_parts_up_once(spark, tmp_path):
         state.to_parts(state.opened(spark, folder, schema), f"{tmp_path}/parts", f"{tmp_path}/checkpoint", "append", state.sums).awaitTermination()
     got = {r.key: (r.n, r.mean, r.place) for r in state.board(spark.read.parquet(f"{tmp_path}/parts")).collect()}
     assert got == {"a": (3, 2.0, 2), "b": (2, 3.0, 1), "c": (1, 2.0, 2)}
+
+
+@pytest.mark.parametrize("buckets", [1, 3])
+def test_runs_share_buckets_and_slices_are_bounded(spark, tmp_path, buckets):
+    """Many runs in few buckets, in more slices than asked for: each run as if it were alone, an id that is missing too."""
+    draw = random.Random(buckets)
+    rows = [(draw.choice([None, *range(20)]), draw.choice(["start", "step", "end"]), draw.randrange(600), 1.0) for _ in range(200)] + [(5, "step", 700, 1.0)]
+    events = spark.createDataFrame([(i, u, kind, START + datetime.timedelta(seconds=s), v) for i, (u, kind, s, v) in enumerate(rows)], "event_id long, user_id long, event_type string, ts timestamp, value double")
+    folder, schema = state.replayed(events, slice_rows=20)
+    assert max(r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()) <= 30
+    state.to_parts(state.tracked(state.opened(spark, folder, schema), 90, ("end",), buckets=buckets), f"{tmp_path}/parts", f"{tmp_path}/checkpoint").awaitTermination()
+    got = {r.user_id: (r.event_id, r.event_type, r.events, r.stale) for r in state.newest_runs(spark.read.parquet(f"{tmp_path}/parts")).collect()}
+    want = {}
+    for u in {r[0] for r in rows}:
+        s, i, kind = max((s, i, kind) for i, (x, kind, s, _) in enumerate(rows) if x == u)
+        want[u] = (i, kind, sum(x == u for x, *_ in rows), kind != "end" and s + 90 < 699)
+    assert got == want
