@@ -60,3 +60,19 @@ def test_only_near_rows_leave_a_block(spark, monkeypatch):
     df = spark.createDataFrame([(i, [draw.random() for _ in range(4)]) for i in range(400)], "id long, z array<double>")
     plan = neighbours.nearest(df, df, 2)._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan.split("FlatMapCoGroupsInArrow")[0]
+
+
+@pytest.mark.parametrize("within", [None, "pool"])
+def test_block_and_queries_meet_in_any_partition(spark, monkeypatch, within):
+    """Both sides' keys are of the same types, so they hash alike: merged into one partition, other types would go unseen."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 8)
+    draw = random.Random(11)
+    rows = [(i, [None if draw.random() < 0.2 else draw.gauss(0, 1) for _ in range(4)], "one") for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, z array<double>, pool string")
+    merged = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {(r.query, r.place): r.id for r in neighbours.nearest(df, df, 3, within=within).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", merged)
+    assert got == {x: i for x, (i, _) in brute([r[:2] for r in rows], 3, 1.0).items()}
