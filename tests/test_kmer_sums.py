@@ -4,6 +4,7 @@ import collections
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -53,3 +54,25 @@ def test_no_row_is_a_kmer(spark, name):
 def test_sample_is_taken_before_rows_leave_numpy(spark):
     plan = catalog.queries()["l03_scaled_kmer_sample"](spark, DIR)._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" in plan and "xxhash64(kmer" not in plan
+
+
+def test_keys_are_packed(spark):
+    """What a key costs beside its k-mers: differences of whole numbers, places among distinct values for the rest."""
+    for x in ([5, 5, 7, 1 << 62, -(1 << 63), (1 << 63) - 1], ["a", None, "a", "b"], [True, False, True], [3, None, 3], [1.5, float("inf"), 1.5]):
+        column = pa.array(x)
+        values, b = kmers.pack_values(column)
+        assert kmers.unpack_values(values, b, len(x)).to_pylist() == x and kmers.unpack_values(values, b, len(x)).type == column.type
+    ids = pa.array(np.cumsum(np.random.default_rng(1).integers(1, 2000, 4000)))
+    assert len(kmers.pack_values(ids)[1]) < 2 * len(ids)
+
+
+def test_more_partitions_do_not_repeat_keys(spark):
+    """Keys go along once a share; before, each shuffle partition was a share and had all keys again."""
+    own = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "600")
+        assert kmers.shares_of(spark) == kmers.SHARES
+        spark.conf.set("spark.sql.shuffle.partitions", "8000")
+        assert kmers.shares_of(spark) == 1000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", own)
