@@ -76,3 +76,24 @@ def test_more_partitions_do_not_repeat_keys(spark):
         assert kmers.shares_of(spark) == 1000
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", own)
+
+
+@pytest.mark.parametrize("k", [3, 15, 31])
+def test_runs(k):
+    """Runs hold each k-mer once, both strands of it in one part, and take a byte or so a k-mer (before, some three)."""
+    rng = random.Random(k)
+    text = "".join(rng.choice("ACGT" * 50 + "N") for _ in range(5000))
+    other = text[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    held = collections.defaultdict(set)
+    for t in (text, other):
+        b = np.frombuffer(t.encode(), np.uint8)
+        start, n, part = kmers.runs(b, k, 64)
+        assert np.array_equal(kmers._spread(start, n), kmers.codes(b, k)[0])
+        again = kmers.unpack_bases(kmers.pack_bases(b, start, n + k - 1)).tobytes().decode()
+        for a, m, p, at in zip(start.tolist(), n.tolist(), part.tolist(), (np.cumsum(n + k - 1) - (n + k - 1)).tolist()):
+            assert again[at : at + m + k - 1] == t[a : a + m + k - 1]
+            for i in range(m):
+                w = t[a + i : a + i + k]
+                held[min(w, w[::-1].translate(str.maketrans("ACGT", "TGCA")))].add(p)
+    assert all(len(p) == 1 for p in held.values()) and kmers.runs(b[: k - 1], k, 64)[0].size == 0
+    assert k < 15 or len(kmers.pack_bases(b, start, n + k - 1)) < 1.4 * n.sum()
